@@ -40,7 +40,8 @@ def literal_to_json(column: str | Column) -> Column:
     """
     text = F.col(column) if isinstance(column, str) else column
     for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, rf"([:\[]\s*){word}(?=\s*[,}}\]])", f"$1{value}")
+        rewritten = F.regexp_replace(text, rf"([:\[]\s*){word}(?=\s*[,}}\]])", f"$1{value}")
+        text = F.when(text.contains(word), rewritten).otherwise(text)
     return text
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+SALTS = 4
 
 
 def salted_join(
@@ -18,13 +18,14 @@ def salted_join(
     spread_by: Sequence[str] = (),
     salts: int = SALTS,
 ) -> DataFrame:
-    """``facts.join(lookup, on, how)`` with the rows of each key spread over ``salts`` partitions.
-
-    ``lookup`` holds few rows per key and is repeated once per salt; ``spread_by`` names columns
-    that vary between the facts of one key. The salt is a hash, so a recomputed task repeats it.
-    Both sides meet in a fresh exchange on (key, salt), which is also the shape in which adaptive
-    execution can split what is still too large; a lookup small enough is broadcast by its size
-    and then nothing moves.
+    """``facts.join(lookup, on, how)`` that stays balanced when one key holds most of the facts.
+
+    The rows of a key are spread over ``salts`` partitions by a hash of ``spread_by`` (columns that
+    vary within a key), and ``lookup``, which holds few rows per key, is repeated once per salt.
+    Just as important, the salt makes both sides meet in a fresh exchange: a lookup that is itself
+    an aggregate by the key would otherwise be joined where it lies, and adaptive execution
+    splits a skewed partition only between two plain exchanges. So ``salts=1`` is enough where the
+    lookup is large. A lookup that is small by its size is broadcast and nothing is moved.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"a salted {how} join would repeat lookup rows")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegrid.operators.joins import salted_join
-from tastegrid.session import ensure_checkpoint_dir
+from tastegrid.session import materialize
 
 # Positions per block in the two-level count of seen items; also the largest window group there.
 BLOCK = 65536
@@ -32,14 +32,12 @@ def global_positions(df: DataFrame, order: Sequence[Column], name: str = "positi
     their places are read in two passes that must agree even if a task is recomputed.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
+    placed = materialize(
         df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
         .withColumns({"_part": F.spark_partition_id(),
                       # The low 33 bits count the rows of the partition.
                       "_place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)})
-        .checkpoint()
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))  # one row per partition

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tastegrid.functions import scores, scrub
 from tastegrid.operators.joins import salted_join
 from tastegrid.operators.ranking import global_positions
+from tastegrid.session import materialize
 
 
 def token_counts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -28,14 +29,14 @@ def inverse_document_frequency(terms: DataFrame, n_documents: DataFrame, term: s
 
 
 def weigh_terms(terms: DataFrame, idf: DataFrame, key: str, term: str = "term") -> DataFrame:
-    """(key, term, tfidf); a frequent term's rows are spread by document."""
-    return salted_join(terms, idf, [term], "inner", spread_by=[key]).select(
+    """(key, term, tfidf). The vocabulary is too large a table to repeat, so it is salted once."""
+    return salted_join(terms, idf, [term], "inner", spread_by=[key], salts=1).select(
         key, term, (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tfidf) over the exact vocabulary."""
-    terms = token_counts(df, key, text)
+    terms = materialize(token_counts(df, key, text))  # weighed and counted: tokenised once
     n_documents = df.agg(F.count(F.lit(1)).alias("n_documents"))
     return weigh_terms(terms, inverse_document_frequency(terms, n_documents), key)
 

@@ -12,7 +12,7 @@ from tastegrid.operators import (
     analytics, credits, evaluate, factorize, joins, keywords, links, movies, ranking, ratings, recommend, similarity,
     text,
 )
-from tastegrid.session import configure
+from tastegrid.session import configure, materialize
 from tastegrid.sources.star_schema import MovieTables
 
 AS_OF = 1009843200       # 2002-01-01 UTC, after the last rating
@@ -55,20 +55,24 @@ class Domain(MovieTables):
 
     @cached_property
     def recs(self) -> DataFrame:
-        return ranking.most_popular_unseen(self.ratings, K)
+        return ranking.most_popular_unseen(materialize(self.ratings.select("userId", "movieId")), K)
 
     @cached_property
     def split(self) -> DataFrame:
         return ratings.holdout_last(self.ratings, HELD_OUT, ORDER)
 
+    @cached_property
+    def stored_split(self) -> DataFrame:
+        return materialize(self.split.select("userId", "movieId", "rating", "split"))
+
     @cached_property
     def truth(self) -> DataFrame:
-        return self.split.filter((F.col("split") == "test") & (F.col("rating") >= LIKED)).select("userId", "movieId")
+        return self.stored_split.filter((F.col("split") == "test") & (F.col("rating") >= LIKED)).select("userId", "movieId")
 
     @cached_property
     def trained_recs(self) -> DataFrame:
         """Lists of up to max(KS) from the training part of the split."""
-        return ranking.most_popular_unseen(self.split.filter(F.col("split") == "train"), max(KS))
+        return ranking.most_popular_unseen(self.stored_split.filter(F.col("split") == "train"), max(KS))
 
     @cached_property
     def cast(self) -> DataFrame:
@@ -399,7 +403,7 @@ def keyword_vectors(d: Domain) -> DataFrame:
 
 @query
 def cosine_to_target(d: Domain) -> DataFrame:
-    weights = text.tfidf(d.movie_text, "movieId", "combined_features")
+    weights = materialize(text.tfidf(d.movie_text, "movieId", "combined_features"))
     target = similarity.target_by_title(d.table("part").select(
         F.col("p_partkey").cast("int").alias("movieId"), F.col("p_name").alias("title")), TARGET_TITLE)
     return similarity.similar_to_target(weights, target, "movieId", K)

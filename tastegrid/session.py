@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings; every one can be changed on a live session.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -32,6 +33,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the checkpoint folder and read it from there, for a table that several branches use."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named by ``spark.checkpoint.dir``; make one only where none is set."""
     context = spark.sparkContext
