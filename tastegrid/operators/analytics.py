@@ -13,15 +13,17 @@ from tastegrid.operators.joins import salted_join
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """(column_name, n_rows, n_null, n_distinct) of every column from one aggregate."""
-    measures = [F.count(F.lit(1)).alias("n")]
-    for c in df.columns:
-        measures += [F.count(c).alias(f"{c}__count"), F.count_distinct(c).alias(f"{c}__distinct")]
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col("n").alias("n_rows"),
-                 (F.col("n") - F.col(f"{c}__count")).alias("n_null"), F.col(f"{c}__distinct").alias("n_distinct"))
-        for c in df.columns])).alias("c")
-    return df.agg(*measures).select(rows).select("c.*")
+    """(column_name, n_rows, n_null, n_distinct) of every column, read once.
+
+    Values are counted per (column, value) first, so neither a frequent value nor a column is
+    brought into one task.
+    """
+    values = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).unpivot(
+        [], list(df.columns), "column_name", "value").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("column_name").agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+        F.count("value").alias("n_distinct"))
 
 
 def rating_distribution(ratings: DataFrame) -> DataFrame:
@@ -59,10 +61,11 @@ def genre_diversity(recs: DataFrame, genres: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """(bin, n): equal-width bins between the column's extremes, the upper edge in the last bin."""
-    edges = df.agg(F.min(column).cast("double").alias("_low"), F.max(column).cast("double").alias("_high"))
-    width = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
-    place = F.floor((F.col(column) - F.col("_low")) * bins / width) + 1
-    return df.filter(F.col(column).isNotNull()).join(F.broadcast(edges)).groupBy(
+    edges = df.agg(F.struct(
+        F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))).scalar()
+    low, high = F.col("_edges.low"), F.col("_edges.high")
+    place = F.floor((F.col(column) - low) * bins / F.nullif(high - low, F.lit(0.0))) + 1
+    return df.filter(F.col(column).isNotNull()).withColumn("_edges", edges).groupBy(
         F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("bigint").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -114,7 +117,7 @@ def item_correlation(ratings: DataFrame, items: DataFrame, user: str = "userId",
         raise ValueError("item_correlation takes at most 2000 items")
     size = len(ids)
     chosen = F.broadcast(ratings.sparkSession.createDataFrame(list(zip(ids, range(size))), f"{item} int, _at int"))
-    n_users = ratings.agg(F.count_distinct(user).alias("n"))
+    n_users = ratings.agg(F.count_distinct(user)).scalar()
     rows = ratings.select(user, item, "rating").join(chosen, item).groupBy(user).agg(
         F.collect_list("_at").alias("at"), F.collect_list("rating").alias("x"))
 
@@ -143,9 +146,10 @@ def item_correlation(ratings: DataFrame, items: DataFrame, user: str = "userId",
     right = stats.select(F.col("_at").alias("b"), F.col("id").alias("movie_b"), F.col("s").alias("sb"),
                          F.col("ss").alias("ssb"))
     n = F.col("n")
-    spread = F.sqrt(n * F.col("ssa") - F.col("sa") ** 2) * F.sqrt(n * F.col("ssb") - F.col("sb") ** 2)
+    spread = F.sqrt(F.greatest(n * F.col("ssa") - F.col("sa") ** 2, F.lit(0.0))) * F.sqrt(
+        F.greatest(n * F.col("ssb") - F.col("sb") ** 2, F.lit(0.0)))
     return (
-        cells.filter("a < b").join(left, "a").join(right, "b").join(F.broadcast(n_users))
+        cells.filter("a < b").join(left, "a").join(right, "b").withColumn("n", n_users)
         .select("movie_a", "movie_b", "n_common",
                 ((n * F.col("sxy") - F.col("sa") * F.col("sb")) / F.nullif(spread, F.lit(0.0))).alias("correlation"))
     )

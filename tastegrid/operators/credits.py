@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegrid.functions import scrub
+from tastegrid.operators.joins import salted_join
 from tastegrid.operators.ratings import first_per_key
 
 FEMALE, MALE = 1, 2  # fixed values of the gender code
@@ -82,4 +83,5 @@ def directors(credits: DataFrame) -> DataFrame:
 
 def director_features(cast: DataFrame, credits: DataFrame) -> DataFrame:
     """(movie_id, lead_actor, director): one row per director with the first cast name."""
-    return directors(credits).join(cast_features(cast).select("movie_id", "lead_actor"), "movie_id", "left")
+    leads = cast_features(cast).select("movie_id", "lead_actor")
+    return salted_join(directors(credits), leads, ["movie_id"], "left", spread_by=["director"])

@@ -19,15 +19,20 @@ from pyspark.sql import functions as F
 
 from tastegrid.operators.ranking import top_n
 
-CELL_ROWS = 4096        # most rows of either side expected in one cell
+CELL_BYTES = 64 * 2**20  # vectors of either side expected in one cell
+ROW_BYTES = 8192        # a vector whose size the caller does not give
 SCORE_BLOCK = 2_000_000  # scores held at once
 RESULT = "query_id bigint, item_id bigint, similarity double"
 
 
-def grid_shape(n_queries: int, n_items: int, parallelism: int, cell_rows: int = CELL_ROWS) -> tuple[int, int]:
-    """Blocks per side: cells no larger than ``cell_rows`` squared, and about two per core."""
+def grid_shape(n_queries: int, n_items: int, parallelism: int, row_bytes: int = ROW_BYTES) -> tuple[int, int]:
+    """Blocks per side: as large as a task can hold, but at least about two cells per core.
+
+    A query is sent once per item block and an item once per query block, so fewer and larger
+    cells move less data.
+    """
     even = math.ceil(math.sqrt(max(n_queries, 1) * max(n_items, 1) / (2 * parallelism)))
-    rows = min(cell_rows, max(64, even))
+    rows = min(max(64, CELL_BYTES // row_bytes), max(64, even))
     return max(1, math.ceil(n_queries / rows)), max(1, math.ceil(n_items / rows))
 
 
@@ -51,7 +56,7 @@ def best_matches(
     digits: int = 6,
     skip_same_id: bool = False,
     exclude: DataFrame | None = None,
-    cell_rows: int = CELL_ROWS,
+    row_bytes: int = ROW_BYTES,
 ) -> DataFrame:
     """(query_id, rank, item_id, similarity): the ``k`` best items of every query.
 
@@ -60,10 +65,10 @@ def best_matches(
     0; without it they are dense vectors of one length. The score is the cosine, or the inner
     product, rounded to ``digits``; equal scores rank by item id; a zero vector has cosine 0.
     ``exclude`` names (query_id, item_id) pairs to leave out, each of which belongs to one cell.
-    ``n_queries`` and ``n_items`` only choose the grid.
+    ``n_queries``, ``n_items`` and ``row_bytes`` (the usual size of a vector) only choose the grid.
     """
     spark = queries.sparkSession
-    q_blocks, i_blocks = grid_shape(n_queries, n_items, spark.sparkContext.defaultParallelism, cell_rows)
+    q_blocks, i_blocks = grid_shape(n_queries, n_items, spark.sparkContext.defaultParallelism, row_bytes)
     columns = ["weights"] if terms is None else [F.col(terms).alias("terms"), "weights"]
     none = F.lit(None).cast("bigint")
     left = queries.select(

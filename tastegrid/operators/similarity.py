@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.operators.grid import best_matches
+from tastegrid.operators.grid import ROW_BYTES, best_matches
 
 
 def term_vectors(weights: DataFrame, key: str, term: str = "term", value: str = "tfidf") -> DataFrame:
@@ -15,17 +15,25 @@ def term_vectors(weights: DataFrame, key: str, term: str = "term", value: str =
         "id", F.transform("_e", lambda e: e["t"]).alias("terms"), F.transform("_e", lambda e: e["w"]).alias("weights"))
 
 
-def nearest_texts(weights: DataFrame, key: str, k: int, n_documents: int, term: str = "term") -> DataFrame:
-    """(query_id, rank, item_id, similarity): the ``k`` nearest other documents of every document."""
+def nearest_texts(
+    weights: DataFrame, key: str, k: int, n_documents: int, term: str = "term", row_bytes: int = ROW_BYTES
+) -> DataFrame:
+    """(query_id, rank, item_id, similarity): the ``k`` nearest other documents of every document.
+
+    ``row_bytes`` is the usual size of a document's terms and weights.
+    """
     vectors = term_vectors(weights, key, term)
     return best_matches(vectors, vectors, k, n_queries=n_documents, n_items=n_documents, terms="terms",
-                        skip_same_id=True)
+                        skip_same_id=True, row_bytes=row_bytes)
 
 
-def nearest_vectors(df: DataFrame, key: str, vector: str, k: int, n_rows: int, digits: int = 6) -> DataFrame:
+def nearest_vectors(
+    df: DataFrame, key: str, vector: str, k: int, n_rows: int, digits: int = 6, row_bytes: int = ROW_BYTES
+) -> DataFrame:
     """(query_id, rank, item_id, similarity) over dense vectors of one length."""
     rows = df.select(F.col(key).alias("id"), F.col(vector).alias("weights"))
-    return best_matches(rows, rows, k, n_queries=n_rows, n_items=n_rows, digits=digits, skip_same_id=True)
+    return best_matches(rows, rows, k, n_queries=n_rows, n_items=n_rows, digits=digits, skip_same_id=True,
+                        row_bytes=row_bytes)
 
 
 def target_by_title(movies: DataFrame, title: str, key: str = "movieId") -> DataFrame:
@@ -45,13 +53,13 @@ def similar_to_target(
     wanted = F.broadcast(target.select(F.col(key).alias("_target")))
     target_terms = weights.join(wanted, F.col(key) == F.col("_target"), "left_semi").select(
         "term", F.col("tfidf").alias("_w"))
-    target_norm = target_terms.agg(F.sqrt(F.sum(F.col("_w") ** 2)).alias("_target_norm"))
+    target_norm = target_terms.agg(F.sqrt(F.sum(F.col("_w") ** 2))).scalar()
     scored = weights.join(F.broadcast(target_terms), "term", "left").groupBy(key).agg(
         F.sqrt(F.sum(F.col("tfidf") ** 2)).alias("_norm"),
         F.sum(F.col("tfidf") * F.col("_w")).alias("_dot"))
     scale = F.nullif(F.col("_norm") * F.col("_target_norm"), F.lit(0.0))
     similarity = F.round(F.coalesce(F.col("_dot") / scale, F.lit(0.0)), digits)
-    result = scored.join(F.broadcast(target_norm)).select(key, similarity.alias("similarity"))
+    result = scored.withColumn("_target_norm", target_norm).select(key, similarity.alias("similarity"))
     if not include_self:
         result = result.join(wanted, F.col(key) == F.col("_target"), "left_anti")
     return result.orderBy(F.desc("similarity"), key).limit(n)

@@ -24,8 +24,7 @@ def token_counts(df: DataFrame, key: str, text: str) -> DataFrame:
 def inverse_document_frequency(terms: DataFrame, n_documents: DataFrame, term: str = "term") -> DataFrame:
     """(term, idf) from distinct (document, term) rows and a one-row document count."""
     df = terms.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
-    return df.join(F.broadcast(n_documents)).select(
-        term, scores.smoothed_idf(F.col("n_documents"), F.col("df")).alias("idf"))
+    return df.select(term, scores.smoothed_idf(n_documents.scalar(), F.col("df")).alias("idf"))
 
 
 def weigh_terms(terms: DataFrame, idf: DataFrame, key: str, term: str = "term") -> DataFrame:

@@ -49,17 +49,17 @@ class Domain(MovieTables):
     def labelled_movies(self) -> DataFrame:
         """Movie columns of an enriched row, with the frequency index of the genre."""
         index = text.label_index(self.movies, "genre_name", "genres_indexed").drop("label_count")
-        return self.movies.join(index, "genre_name", "left").select(
+        return joins.salted_join(self.movies, index, ["genre_name"], "left", spread_by=["movieId"]).select(
             "movieId", "title", "genre_id", "genre_name", "release_year",
             F.col("genres_indexed").cast("int").alias("genres_indexed"))
 
     @cached_property
     def recs(self) -> DataFrame:
-        return ranking.most_popular_unseen(materialize(self.ratings.select("userId", "movieId")), K)
+        return ranking.most_popular_unseen(self.stored_ratings, K)
 
     @cached_property
     def split(self) -> DataFrame:
-        return ratings.holdout_last(self.ratings, HELD_OUT, ORDER)
+        return ratings.holdout_last(self.stored_ratings, HELD_OUT, ORDER)
 
     @cached_property
     def stored_split(self) -> DataFrame:
@@ -92,6 +92,11 @@ class Domain(MovieTables):
         return movies.combined_text(
             named, credits.cast_features(self.cast), keywords.keyword_lists(self.keywords_raw))
 
+    @cached_property
+    def stored_movie_text(self) -> DataFrame:
+        """The movies' texts written once: features are fitted and applied in separate passes."""
+        return materialize(self.movie_text)
+
     @cached_property
     def document_weights(self) -> DataFrame:
         return text.tfidf(self.documents, "doc_id", "text")
@@ -101,7 +106,7 @@ class Domain(MovieTables):
 
     @cached_property
     def als_ratings(self) -> DataFrame:
-        return self.ratings.select("userId", "movieId", "rating")
+        return self.stored_ratings.select("userId", "movieId", "rating")
 
 
 QUERIES: dict[str, Callable[[Domain], DataFrame]] = {}
@@ -241,7 +246,8 @@ def release_features(d: Domain) -> DataFrame:
 
 @query
 def weighted_rating(d: Domain) -> DataFrame:
-    return movies.weighted_ratings(d.movies_raw).select("id", r6("weighted_rating").alias("weighted_rating"))
+    votes = materialize(d.movies_raw.select("id", "vote_count", "vote_average"))  # averaged and weighed
+    return movies.weighted_ratings(votes).select("id", r6("weighted_rating").alias("weighted_rating"))
 
 
 @query
@@ -301,7 +307,7 @@ def movie_profile(d: Domain) -> DataFrame:
 
 @query
 def ratings_enriched(d: Domain) -> DataFrame:
-    return ratings.with_profiles(d.ratings).select(
+    return ratings.with_profiles(d.stored_ratings).select(
         "userId", "movieId", "rating", F.to_date("ts").alias("rating_date"),
         r6("user_avg_rating").alias("user_avg_rating"), "user_rating_count",
         r6("movie_avg_rating").alias("movie_avg_rating"), "movie_rating_count")
@@ -309,7 +315,7 @@ def ratings_enriched(d: Domain) -> DataFrame:
 
 @query
 def mean_centered(d: Domain) -> DataFrame:
-    return ratings.mean_centered(d.ratings).select(
+    return ratings.mean_centered(d.stored_ratings).select(
         "userId", "movieId", r6("user_avg_rating").alias("user_avg_rating"), r6("rating_norm").alias("rating_norm"))
 
 
@@ -332,7 +338,7 @@ def decayed_popularity(d: Domain) -> DataFrame:
 
 @query
 def missing_movie_ids(d: Domain) -> DataFrame:
-    described = d.movies_raw.filter(F.col("overview").isNotNull()).select(F.col("id").alias("movieId"))
+    described = d.documents.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("int").alias("movieId"))
     return joins.unknown_ids(d.ratings, described, "movieId")
 
 
@@ -344,7 +350,7 @@ def enriched_ratings(d: Domain) -> DataFrame:
 
 @query
 def key_split(d: Domain) -> DataFrame:
-    return ratings.key_split(d.als_ratings)
+    return ratings.key_split(d.ratings.select("userId", "movieId", "rating"))
 
 
 @query
@@ -403,7 +409,7 @@ def keyword_vectors(d: Domain) -> DataFrame:
 
 @query
 def cosine_to_target(d: Domain) -> DataFrame:
-    weights = materialize(text.tfidf(d.movie_text, "movieId", "combined_features"))
+    weights = materialize(text.tfidf(d.stored_movie_text, "movieId", "combined_features"))
     target = similarity.target_by_title(d.table("part").select(
         F.col("p_partkey").cast("int").alias("movieId"), F.col("p_name").alias("title")), TARGET_TITLE)
     return similarity.similar_to_target(weights, target, "movieId", K)
@@ -424,8 +430,8 @@ def knn_dense_topk(d: Domain) -> DataFrame:
 
 @query
 def knn_assembled(d: Domain) -> DataFrame:
-    movies_text = d.movie_text.join(d.movies.select("movieId", "genre_name"), "movieId").fillna(
-        {"genre_name": "Unknown"})
+    movies_text = materialize(d.movie_text.join(d.movies.select("movieId", "genre_name"), "movieId").fillna(
+        {"genre_name": "Unknown"}))
     model = text.content_pipeline("combined_features", "genre_name").fit(movies_text)
     vectors = text.sparse_entries(model.transform(movies_text), "movieId", "features").withColumnRenamed(
         "movieId", "id")
@@ -438,11 +444,11 @@ def knn_assembled(d: Domain) -> DataFrame:
 def hybrid_scores(d: Domain) -> DataFrame:
     """For every user, the neighbours of the best and then latest rated movie that has an overview."""
     described = d.documents.select(F.col("doc_id").cast("int").alias("movieId"))
-    seeds = d.ratings.join(described, "movieId", "left_semi").groupBy("userId").agg(
+    seeds = d.stored_ratings.join(described, "movieId", "left_semi").groupBy("userId").agg(
         F.max_by("movieId", F.struct("rating", *ORDER)).alias("seed_id"))
     neighbours = d.nearest_documents().select(
         F.col("query_id").cast("int").alias("seed_id"), F.col("item_id").cast("int").alias("movieId"), "similarity")
-    return recommend.content_and_ratings(seeds, neighbours, ratings.mean_centered(d.ratings), K)
+    return recommend.content_and_ratings(seeds, neighbours, ratings.mean_centered(d.stored_ratings), K)
 
 
 @query
@@ -485,7 +491,7 @@ def filter_by_popularity(d: Domain) -> DataFrame:
 
 @query
 def advanced_recs(d: Domain) -> DataFrame:
-    decayed = ratings.decayed_popularity(d.ratings, AS_OF)
+    decayed = ratings.decayed_popularity(d.stored_ratings, AS_OF)
     return recommend.advanced(d.recs, d.movies, decayed, genre=GENRE, min_votes=MIN_VOTES).select(
         "userId", "rank", "movieId", "title", "genre_name", "vote_count", r6("decayed_score").alias("decayed_score"))
 
@@ -579,12 +585,12 @@ def genre_diversity_histogram(d: Domain) -> DataFrame:
 
 @query
 def recommended_avg_rating(d: Domain) -> DataFrame:
-    return analytics.recommended_avg_rating(d.recs, d.ratings).select("movieId", r6("avg_rating").alias("avg_rating"))
+    return analytics.recommended_avg_rating(d.recs, d.stored_ratings).select("movieId", r6("avg_rating").alias("avg_rating"))
 
 
 @query
 def recommended_avg_rating_histogram(d: Domain) -> DataFrame:
-    return analytics.histogram(analytics.recommended_avg_rating(d.recs, d.ratings), "avg_rating", 20)
+    return analytics.histogram(analytics.recommended_avg_rating(d.recs, d.stored_ratings), "avg_rating", 20)
 
 
 @query
@@ -594,7 +600,7 @@ def user_item_pivot(d: Domain) -> DataFrame:
 
 @query
 def item_correlation(d: Domain) -> DataFrame:
-    return analytics.item_correlation(d.ratings, analytics.most_rated(d.ratings, HEAT_MAP)).withColumn(
+    return analytics.item_correlation(d.stored_ratings, analytics.most_rated(d.stored_ratings, HEAT_MAP)).withColumn(
         "correlation", r6("correlation"))
 
 
@@ -625,7 +631,7 @@ def als_nonneg(d: Domain) -> DataFrame:
 @query
 def als_user_subset(d: Domain) -> DataFrame:
     """Lists for the users who rated in the last year of the data."""
-    recent = d.ratings.filter(F.year("ts") == 2001).select("userId")
+    recent = d.stored_ratings.filter(F.year("ts") == 2001).select("userId")
     return factorize.recommend_for(factorize.fit_als(d.als_ratings), recent, K)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.operators.ratings import latest_per_key
+from tastegrid.session import materialize
 
 
 def _quoted(text):
@@ -75,6 +76,16 @@ class MovieTables:
         """One rating per (user, movie): the latest."""
         return latest_per_key(self.ratings_raw, ["userId", "movieId"], ["ts", "ok", "ln"], ["rating"])
 
+    @cached_property
+    def stored_ratings(self) -> DataFrame:
+        """``ratings`` written once, for queries that read them more than once."""
+        return materialize(self.ratings)
+
+    @property
+    def known_ratings(self) -> DataFrame:
+        """The stored ratings if this folder's queries have stored them already."""
+        return self.__dict__.get("stored_ratings", self.ratings)
+
     @cached_property
     def documents(self) -> DataFrame:
         return self.table("documents").select("doc_id", "text")
@@ -82,7 +93,7 @@ class MovieTables:
     @cached_property
     def movies_raw(self) -> DataFrame:
         part = self.table("part")
-        votes = self.ratings.groupBy("movieId").agg(
+        votes = self.known_ratings.groupBy("movieId").agg(
             F.min("ts").cast("date").alias("release_date"),
             F.count(F.lit(1)).alias("vote_count"),
             F.round(F.avg("rating") * 2, 4).alias("vote_average"),

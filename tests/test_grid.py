@@ -42,7 +42,7 @@ def frame(spark, dense, ids, id_type="bigint"):
 def test_dense_neighbours(spark, vectors):
     ids = [3 * i + 1 for i in range(len(vectors))]
     df = frame(spark, vectors, ids)
-    got = grid.best_matches(df, df, 5, n_queries=150, n_items=150, skip_same_id=True, cell_rows=64)
+    got = grid.best_matches(df, df, 5, n_queries=150, n_items=150, skip_same_id=True, row_bytes=2**20)
     close(result(got), brute_force(vectors, ids, vectors, ids, 5, skip_same=True))
 
 
