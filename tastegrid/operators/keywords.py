@@ -46,8 +46,11 @@ def keyword_list_rows(df: DataFrame) -> DataFrame:
 
 
 def keyword_lists(df: DataFrame) -> DataFrame:
-    """(movie_id, keyword_names): the movie's keywords in order, comma separated."""
-    return keyword_list_rows(df).groupBy("movie_id").agg(
+    """(movie_id, keyword_names): the movie's distinct keywords in order, comma separated.
+
+    Repeated keywords, also those of repeated rows, are dropped before lists are collected.
+    """
+    return keyword_list_rows(df).distinct().groupBy("movie_id").agg(
         F.concat_ws(",", F.sort_array(F.collect_list("keyword_name"))).alias("keyword_names"))
 
 

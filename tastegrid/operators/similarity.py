@@ -48,7 +48,7 @@ def similar_to_target(
 
     One pass over the weights: every document's dot product with the target comes from the
     target's own terms, broadcast because they are at most one document's. Documents sharing no
-    term have similarity 0.
+    term have similarity 0; without a target there are no rows.
     """
     wanted = F.broadcast(target.select(F.col(key).alias("_target")))
     target_terms = weights.join(wanted, F.col(key) == F.col("_target"), "left_semi").select(
@@ -59,7 +59,8 @@ def similar_to_target(
         F.sum(F.col("tfidf") * F.col("_w")).alias("_dot"))
     scale = F.nullif(F.col("_norm") * F.col("_target_norm"), F.lit(0.0))
     similarity = F.round(F.coalesce(F.col("_dot") / scale, F.lit(0.0)), digits)
-    result = scored.withColumn("_target_norm", target_norm).select(key, similarity.alias("similarity"))
+    result = scored.withColumn("_target_norm", target_norm).filter(F.col("_target_norm").isNotNull()).select(
+        key, similarity.alias("similarity"))
     if not include_self:
         result = result.join(wanted, F.col(key) == F.col("_target"), "left_anti")
     return result.orderBy(F.desc("similarity"), key).limit(n)

@@ -12,6 +12,7 @@ from tastegrid.operators import (
     analytics, credits, evaluate, factorize, joins, keywords, links, movies, ranking, ratings, recommend, similarity,
     text,
 )
+from tastegrid.plans import requests
 from tastegrid.session import configure, materialize
 from tastegrid.sources.star_schema import MovieTables
 
@@ -21,6 +22,7 @@ KS = (1, 5, 10, 20, 50)  # cut-offs of the metric curve
 HELD_OUT = 5             # latest ratings per user that are held out
 LIKED = 3.0              # a held-out rating from here on is relevant
 TARGET_TITLE = "small ring"
+USER = 1
 GENRE = "ECONOMY"
 MIN_VOTES = 30
 HEAT_MAP = 100           # items on the axes of the correlation heat map
@@ -410,8 +412,7 @@ def keyword_vectors(d: Domain) -> DataFrame:
 @query
 def cosine_to_target(d: Domain) -> DataFrame:
     weights = materialize(text.tfidf(d.stored_movie_text, "movieId", "combined_features"))
-    target = similarity.target_by_title(d.table("part").select(
-        F.col("p_partkey").cast("int").alias("movieId"), F.col("p_name").alias("title")), TARGET_TITLE)
+    target = similarity.target_by_title(d.stored_movie_text, TARGET_TITLE)
     return similarity.similar_to_target(weights, target, "movieId", K)
 
 
@@ -451,6 +452,18 @@ def hybrid_scores(d: Domain) -> DataFrame:
     return recommend.content_and_ratings(seeds, neighbours, ratings.mean_centered(d.stored_ratings), K)
 
 
+@query
+def similar_to_title(d: Domain) -> DataFrame:
+    weights = materialize(text.tfidf(d.stored_movie_text, "movieId", "combined_features"))
+    return requests.similar_movies(d.stored_movie_text, weights, TARGET_TITLE, K)
+
+
+@query
+def hybrid_for_user(d: Domain) -> DataFrame:
+    weights = materialize(text.tfidf(d.stored_movie_text, "movieId", "combined_features"))
+    return requests.hybrid_movies(d.stored_movie_text, weights, d.ratings, USER, TARGET_TITLE, K)
+
+
 @query
 def same_genre(d: Domain) -> DataFrame:
     return recommend.same_genre(d.movies, K)

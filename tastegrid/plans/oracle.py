@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from tastegrid.plans.catalog import (
-    AS_OF, GENRE, HEAT_MAP, HELD_OUT, K, KS, LIKED, MIN_VOTES, TARGET_TITLE,
+    AS_OF, GENRE, HEAT_MAP, HELD_OUT, K, KS, LIKED, MIN_VOTES, TARGET_TITLE, USER,
 )
 
 # The genres of the test data.
@@ -123,7 +123,7 @@ select distinct movie_id, {initcap("k")} keyword_name from (
   select movie_id, unnest(string_split(concat(p_name, ' ', p_brand), ' ')) k from keyword_texts) z where k <> ''"""
 
 CTES["keyword_csv"] = """
-select movie_id, array_to_string(list_sort(string_split(concat(p_name, ' ', p_brand), ' ')), ',') keyword_names
+select movie_id, array_to_string(list_sort(list_distinct(string_split(concat(p_name, ' ', p_brand), ' '))), ',') keyword_names
 from keyword_texts"""
 
 CTES["links_full"] = """
@@ -349,15 +349,26 @@ from keyword_set k join (select keyword_name, count(*) df from keyword_set group
 BODIES["string_index"] = """
 select genre_name, count(*) label_count, row_number() over (order by count(*) desc, genre_name) - 1 genre_index
 from genre_rows_all group by 1"""
-BODIES["cosine_to_target"] = f"""
-select n."movieId", round(coalesce(dot / nullif(norm * (select norm from movie_norm where "movieId" = target), 0), 0), 6)
+CTES["to_target"] = f"""
+select n."movieId", target, round(coalesce(dot / nullif(norm * (select norm from movie_norm where "movieId" = target), 0), 0), 6)
   similarity
 from movie_norm n cross join (select min("movieId") target from movies where title = '{TARGET_TITLE}') t
 left join (select a."movieId" l, b."movieId" r, sum(a.tfidf * b.tfidf) dot from movie_w a
            join movie_w b on a.term = b.term
            where b."movieId" = (select min("movieId") from movies where title = '{TARGET_TITLE}') group by 1, 2) s
-  on l = n."movieId"
-order by similarity desc, n."movieId" limit {K}"""
+  on l = n."movieId" """
+CTES["near_target"] = f"""
+select * from to_target where "movieId" <> target order by similarity desc, "movieId" limit {K}"""
+BODIES["cosine_to_target"] = f"""
+select "movieId", similarity from to_target order by similarity desc, "movieId" limit {K}"""
+BODIES["similar_to_title"] = """
+select n."movieId", title, similarity from near_target n join movies m on m."movieId" = n."movieId" """
+BODIES["hybrid_for_user"] = f"""
+select n."movieId", title, round(0.5 * similarity + 0.5 * coalesce(norm, 0), 7) score
+from near_target n join movies m on m."movieId" = n."movieId"
+left join (select "movieId" i, rating - avg(rating) over () norm from ratings where "userId" = {USER}) c
+  on i = n."movieId"
+where exists (select 1 from ratings where "userId" = {USER})"""
 BODIES["knn_topk"] = "select doc_id, rank, neighbor_id, similarity from doc_knn"
 BODIES["knn_dense_topk"] = f"""
 select vec_id, rank, neighbor_id, similarity from (

@@ -43,7 +43,7 @@ def test_matches_duckdb(spark, duck, sf_dir, name):
     ours = as_counter(result.columns, [tuple(r) for r in result.collect()])
     theirs = as_counter(relation.columns, relation.fetchall())
     assert ours == theirs
-    assert ours
+    assert ours or name == "missing_movie_ids"  # the smallest tables describe every movie
 
 
 def test_every_oracle_has_a_query():
