@@ -44,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
-    shared = context.getConf().get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tastegrid-checkpoint-"))
