@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.llm import chat, decontaminate, fingerprints, lines, minhash, mixing, toxicity
+from tastegrid.llm import chat, decontaminate, fingerprints, lines, lm, minhash, mixing, relative, suffix, toxicity
 from tastegrid.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op2_decontaminate(table):
         "doc_id", F.col("m.item").alias("item_id"), F.round("m.similarity", 6).alias("similarity"), "m.start_word", "m.n_words")
 
 
+@query
+def op3_suffix_dedup(table):
+    return suffix.remove_repeats(table("documents"))
+
+
 @query
 def op4_toxicity(table):
     docs = table("documents").select("doc_id", "text")
@@ -53,6 +58,11 @@ def op5_line_dedup(table):
     return out.select("doc_id", "n_lines", "lines_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op6_relative_lz(table):
+    return relative.remove_copied(table("documents"))
+
+
 @query
 def op7_chat_format(table):
     talk = table("conversations").select("conv_id", "turn", "role", "text")
@@ -61,6 +71,14 @@ def op7_chat_format(table):
     return chat.conversation_digests(chat.format_turns(talk.unionByName(extra)))
 
 
+@query
+def op8_interpolated_lm(table):
+    part = crc_mod("doc_id", 7)
+    out = lm.score_documents(table("documents"), part != 2, part == 5)
+    return out.select("doc_id", F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                      "train_tokens", "base_score", "score")
+
+
 @query
 def op9_probminhash(table):
     return minhash.near_classes(table("documents"))
