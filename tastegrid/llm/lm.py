@@ -59,6 +59,7 @@ class Counted:
         word, pair, self.first = tokens(data, offsets)
         self.words, self.word = np.unique(word, return_inverse=True)
         self.pairs, self.pair = np.unique(pair, return_inverse=True)
+        self.word, self.pair = self.word.astype(np.int32), self.pair.astype(np.int32)
         self.end = int(np.searchsorted(self.words, END))
         # Counting contexts: a word is a context as often as it occurs, the beginning as often as the end occurs.
         self.context = np.empty_like(self.word)

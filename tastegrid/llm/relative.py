@@ -95,7 +95,7 @@ def word_symbols(data: np.ndarray, offsets: np.ndarray) -> spans.Symbols:
     starts, ends, first = word_spans(data, offsets, WHITE)
     words = span_hash(prefix_sums(data), starts, ends)
     short = words.view(np.uint8).reshape(-1, 8)[:, :WIDTH]
-    return spans.Symbols(first, lambda k: grams(words, k), lambda a, b: short[a:b].tobytes())
+    return spans.Symbols(first, lambda k, at=None: grams(words, k) if at is None else grams(words, k)[at], lambda a, b: short[a:b].tobytes())
 
 
 SCHEMA = [("_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())]

@@ -38,7 +38,7 @@ NONE = np.int64(-(1 << 63))
 class Symbols:
     """Symbols of several texts one after the other: text i has first[i]:first[i + 1]."""
     first: np.ndarray
-    hashes: Callable[[int], np.ndarray]   # k -> hash of the k-gram at every place
+    hashes: Callable[..., np.ndarray]     # (k, places=None) -> hash of the k-grams there, or everywhere
     content: Callable[[int, int], bytes]  # symbols of [start, end)
 
 
@@ -82,8 +82,8 @@ def find_runs(symbols: Symbols, window: int, k: int) -> Runs:
 
 def signed(symbols: Symbols, runs: Runs, window: int) -> Runs:
     """Fill in the content hashes: of the first and last window, which overlap, and the number of windows."""
-    whole = symbols.hashes(window)
-    runs.content = mix(mix(whole[runs.start] + runs.n.astype(np.uint64)) ^ whole[runs.start + runs.n - 1])
+    first, last = symbols.hashes(window, runs.start), symbols.hashes(window, runs.start + runs.n - 1)
+    runs.content = mix(mix(first + runs.n.astype(np.uint64)) ^ last)
     return runs
 
 
@@ -137,7 +137,7 @@ def dedup(docs: DataFrame, symbols_of: Callable, window: int, k: int, resolve: C
             some, hottest = np.flatnonzero(of == 1), np.flatnonzero(of == 2)
             n = runs.n[hottest]
             start = np.repeat(runs.start[hottest] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            own = mix(part.hashes(window)[start] ^ np.uint64(0x3C3C3C3C)) if len(start) else np.zeros(0, np.uint64)
+            own = mix(part.hashes(window, start) ^ np.uint64(0x3C3C3C3C)) if len(start) else np.zeros(0, np.uint64)
             chosen = Runs(np.concatenate((runs.text[some], np.repeat(runs.text[hottest], n))),
                           np.concatenate((runs.start[some], start)), np.concatenate((runs.n[some], np.ones(len(start), np.int64))),
                           np.concatenate((runs.anchor[some], own)), np.zeros(0, np.uint64))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tastegrid.llm import spans
-from tastegrid.llm.hashing import prefix_sums, span_hash
+from tastegrid.llm.hashing import powers, prefix_sums, span_hash
 
 LENGTH = 200
 ANCHOR = 48
@@ -31,8 +31,9 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Order of all suffixes of a sequence of numbers below 2**21."""
     n = len(symbols)
     padded = np.concatenate((symbols.astype(np.int64) + 1, np.zeros(2, np.int64)))
-    order = np.argsort(padded[:n] << 42 | padded[1:n + 1] << 21 | padded[2:n + 2], kind="stable")
-    key = (padded[:n] << 42 | padded[1:n + 1] << 21 | padded[2:n + 2])[order]
+    keys = padded[:n] << 42 | padded[1:n + 1] << 21 | padded[2:n + 2]
+    order = np.argsort(keys)
+    key = keys[order]
     begin = np.concatenate(([True], key[1:] != key[:-1])) if n else np.zeros(0, bool)
     rank = np.empty(n + 1, np.int64)
     rank[order] = np.maximum.accumulate(np.where(begin, np.arange(n), 0))
@@ -42,7 +43,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     open_ = order[np.repeat(size > 1, size)]  # suffixes whose group still has others
     while len(open_):
         following = rank[np.minimum(open_ + depth, n)]
-        by = np.lexsort((following, rank[open_]))
+        by = np.argsort(rank[open_] * (n + 1) + following + 1)
         group, following, open_ = rank[open_][by], following[by], open_[by]
         new_group = np.concatenate(([True], group[1:] != group[:-1]))
         first = np.maximum.accumulate(np.where(new_group, np.arange(len(open_)), 0))
@@ -159,10 +160,13 @@ def resolve(runs: list, length: int = LENGTH, shard_bytes: int = SHARD_BYTES) ->
 
 def byte_symbols(data: np.ndarray, offsets: np.ndarray) -> spans.Symbols:
     sums = prefix_sums(data)
+    inverse = powers(len(sums))[1]
 
-    def hashes(k):
-        at = np.arange(max(0, len(data) - k + 1))
-        return span_hash(sums, at, at + k)
+    def hashes(k, at=None):
+        if at is not None:
+            return span_hash(sums, at, at + k)
+        n = max(0, len(data) - k + 1)  # all places: slices, and one multiplication instead of a full mix
+        return (sums[k:] - sums[:n]) * inverse[:n] * np.uint64(0xD6E8FEB86659FD93) if n else np.zeros(0, np.uint64)
 
     return spans.Symbols(offsets, hashes, lambda a, b: data[a:b].tobytes())
 
@@ -174,7 +178,7 @@ def covered(starts: np.ndarray, total: int, length: int) -> np.ndarray:
     """Which of ``total`` places lie within ``length`` places from some start."""
     step = np.zeros(total + 1, np.int32)
     step[starts] += 1
-    np.subtract.at(step, np.minimum(starts + length, total), 1)
+    step[np.minimum(starts + length, total)] -= 1  # starts are distinct; what ends at ``total`` is not read
     return np.cumsum(step[:-1]) > 0
 
 
