@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,17 +34,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it from there, for a table that several branches use."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as Parquet to the shared folder and read it from there, for a table that several passes use."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``; make one only where none is set."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder of the session: the one named by ``spark.checkpoint.dir``, which every executor must reach.
+
+    A session without that setting keeps such files beside its warehouse tables, which are shared as well.
+    """
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tastegrid-checkpoint-"))
+    current = context._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+    context.setCheckpointDir(shared)
+    return context._jsc.sc().getCheckpointDir().get()
