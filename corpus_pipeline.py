@@ -6,13 +6,11 @@ folder as Parquet and reads them again, so a stage works on what its predecessor
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.llm import decontaminate, lines, minhash, queries, toxicity
-from tastegrid.session import configure, ensure_checkpoint_dir
+from tastegrid.session import configure, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,10 +59,7 @@ ORACLE_SQL = None  # SQL cannot express the random field, ProbMinHash and SimHas
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -69,18 +69,20 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = keyed.groupBy("_a", "_b").agg(F.min("_at").alias("_first"), *(
         F.max(F.col("_keys")[k]).alias(f"_k{k}") for k in range(4)))
 
-    halves = first.filter(F.col("_k0").isNotNull()).select(
-        "_a", "_b", "_first", F.explode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_k"))
+    # A collision in _a alone only lets a line pass that has no partner.
+    halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.explode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_k"))
     shared = halves.groupBy("_k").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_k")
-    hopeful = halves.join(shared, "_k", "left_semi").select("_a", "_b", "_first").dropDuplicates(["_a", "_b"])
+    hopeful = first.filter(F.col("_k0").isNotNull()).join(halves.join(shared, "_k", "left_semi").select("_a"), "_a", "left_semi")
 
-    # Words of the hopeful lines, read at their first place.
+    # Words of the hopeful lines, read at their first place. An explicit exchange follows each table that several
+    # branches read, so that they read its shuffle and do not compute it again.
     wanted = hopeful.groupBy(F.col("_first._id").alias("_id"), F.col("_first._h").alias("_h")).agg(
-        F.collect_list(F.struct(F.col("_first._line").alias("line"), "_a", "_b", "_first")).alias("_wanted"))
+        F.collect_list(F.struct(F.col("_first._line").alias("line"), "_a", "_b")).alias("_wanted"))
     found = docs.join(wanted, ["_id", "_h"]).withColumn("_parts", F.split("_text", "\n")).select(
-        "_parts", F.explode("_wanted").alias("_w"))
-    words = found.select("_w._a", "_w._b", "_w._first", F.split(F.trim(
-        F.element_at("_parts", F.col("_w.line") + 1), F.lit(" \t\r\v\f")), " ").alias("_words"))
+        "_id", "_h", "_parts", F.explode("_wanted").alias("_w"))
+    words = found.select(
+        "_w._a", "_w._b", F.struct("_id", "_h", F.col("_w.line").alias("_line")).alias("_first"),
+        F.split(F.trim(F.element_at("_parts", F.col("_w.line") + 1), F.lit(" \t\r\v\f")), " ").alias("_words")).repartition("_a", "_b")
 
     hashed = words.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     size = F.size("_hashes")
@@ -88,19 +90,16 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.xxhash64(F.slice("_hashes", F.lit(1), i), F.slice("_hashes", i + 2, size)).alias("v"), i.alias("i")))
     whole = F.struct(F.xxhash64("_hashes", F.lit(None).cast("array<bigint>")).alias("v"), F.lit(-1).alias("i"))
     emitted = hashed.select("_a", "_b", "_first", F.explode(F.concat(F.array(whole), variants)).alias("_v")).select(
-        "_a", "_b", "_first", "_v.v", "_v.i")
-    met = emitted.groupBy("v").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("v")
-    emitted = emitted.join(met, "v", "left_semi")
-    line = F.struct("_first", "_a", "_b")
-    replaced = emitted.groupBy("v", "i").agg(F.min(line).alias("_best"))           # i >= 0: one word replaced
-    shorter = replaced.filter("i < 0").select("v", F.col("_best").alias("_best"))  # the line that is v itself
-    longer = emitted.filter("i >= 0").groupBy("v").agg(F.min(line).alias("_best"))
-    members = emitted.select("v", "i", "_a", "_b", "_first")
-    pairs = members.filter("i >= 0").join(replaced, ["v", "i"]).select("_a", "_b", "_first", "_best").unionByName(
-        members.filter("i >= 0").join(shorter, "v").select("_a", "_b", "_first", "_best")).unionByName(
-        members.filter("i < 0").join(longer, "v").select("_a", "_b", "_first", "_best"))
-    pairs = pairs.filter(F.col("_best._first") < F.col("_first")).select(
-        "_a", "_b", F.col("_best._a").alias("_oa"), F.col("_best._b").alias("_ob")).distinct()
+        "_v.v", "_v.i", F.struct("_first", "_a", "_b").alias("_line"))
+    # Earliest line per (v, i); of a v, the line that is v itself (i = -1) and the earliest that is v with a word more.
+    best = emitted.groupBy("v", "i").agg(F.min("_line").alias("_best"), F.count(F.lit(1)).alias("_c")).repartition("v")
+    around = best.groupBy("v").agg(F.min(F.when(F.col("i") >= 0, F.col("_best"))).alias("_longer"),
+                                   F.min(F.when(F.col("i") < 0, F.col("_best"))).alias("_shorter"))
+    met = best.join(around, "v").filter((F.col("_c") > 1) | (F.col("_longer").isNotNull() & F.col("_shorter").isNotNull())).select(
+        "v", "i", F.array_distinct(F.array(F.col("_best"), F.when(F.col("i") < 0, F.col("_longer")).otherwise(F.col("_shorter")))).alias("_bests"))
+    pairs = emitted.join(met, ["v", "i"]).select("_line", F.explode("_bests").alias("_best")).filter(
+        F.col("_best._first") < F.col("_line._first")).select(
+        "_line._a", "_line._b", F.col("_best._a").alias("_oa"), F.col("_best._b").alias("_ob")).distinct()
     own = words.select("_a", "_b", "_words")
     other = words.select(F.col("_a").alias("_oa"), F.col("_b").alias("_ob"), F.col("_words").alias("_others"))
     near = pairs.join(own, ["_a", "_b"]).join(other, ["_oa", "_ob"]).filter(

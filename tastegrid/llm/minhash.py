@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.llm.hashing import mix, pieces, shingles, text_bytes
+from tastegrid.session import ensure_checkpoint_dir, materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -103,11 +104,9 @@ def _signed(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (x, y) pairs whose texts are similar enough; texts are read for the ids in pairs only."""
-    ids = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
-    held = texts.join(ids.withColumnRenamed("x", "_id"), "_id", "left_semi").dropDuplicates(["_id", "_copy"]).select("_id", "_text")
-    rows = pairs.join(held.select(F.col("_id").alias("x"), F.col("_text").alias("_a")), "x").join(
-        held.select(F.col("_id").alias("y"), F.col("_text").alias("_b")), "y").select("x", "y", "_a", "_b")
+    """The (x, y) pairs whose texts are similar enough; ``texts`` has the ids in pairs."""
+    rows = pairs.join(texts.select(F.col("_id").alias("x"), F.col("_text").alias("_a")), "x").join(
+        texts.select(F.col("_id").alias("y"), F.col("_text").alias("_b")), "y").select("x", "y", "_a", "_b")
 
     def run(batches):
         for batch in batches:
@@ -125,7 +124,7 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each node's component, by alternating star contractions.
 
     Each round links every node's larger neighbours to its smallest one, then its smaller neighbours; a
-    component of n nodes is a star after about log n rounds. Rounds are checkpointed.
+    component of n nodes is a star after about log n rounds. Each round is written to the shared folder.
     """
     def star(table, larger):
         both = table.select("u", "v").unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else \
@@ -140,7 +139,7 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     links = edges.select(F.col("x").alias("u"), F.col("y").alias("v")).filter("u != v").distinct()
     before = None
     while True:
-        links = star(star(links, True), False).checkpoint()
+        links = materialize(star(star(links, True), False))
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
             break
@@ -153,11 +152,10 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """(id, class_id, class_size): every id with the smallest id of its class; a null id counts as smallest."""
     spark = docs.sparkSession
-    set_checkpoint_folder(spark)
+    ensure_checkpoint_dir(spark)
     base = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    signed = _signed(base).checkpoint()
-    texts = base.select("_id", F.md5("_text").alias("_copy"), "_text")
+    signed = materialize(_signed(base))
     copies = signed.groupBy("_copy").agg(F.min("_id").alias("_node"), F.first("_bands").alias("_bands"))
     # Ids with equal texts, and an id's several texts, are linked without any comparison.
     links = signed.select("_id", "_copy").join(copies.select("_copy", "_node"), "_copy").filter("_id != _node").select(
@@ -165,9 +163,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = copies.filter(F.col("_bands").isNotNull()).select(
         F.col("_node").alias("node"), F.explode("_bands").alias("band")).distinct()
     shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("band")
-    buckets = buckets.join(shared, "band", "left_semi").checkpoint()
+    buckets = materialize(buckets.join(shared, "band", "left_semi"))
 
-    nodes = buckets.select("node").distinct().checkpoint()
+    nodes = materialize(buckets.select("node").distinct())
+    # Texts of the candidates, one for every id and text: all documents cross one shuffle, once for all rounds.
+    texts = materialize(base.join(nodes.select(F.col("node").alias("_id")), "_id", "left_semi").dropDuplicates())
     labels, edges = nodes.withColumn("label", F.col("node")), None
     for turn in range(PIVOT_ROUNDS + 1):
         placed = buckets.join(labels, "node")
@@ -183,11 +183,11 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             pairs = rest.join(rest.select("band", F.col("node").alias("y"), F.col("label").alias("_other")), "band").filter(
                 "label < _other").select(F.col("node").alias("x"), "y")
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        pairs = (pairs if edges is None else pairs.join(tried, ["x", "y"], "left_anti")).checkpoint()
+        pairs = materialize(pairs if edges is None else pairs.join(tried, ["x", "y"], "left_anti"))
         if pairs.isEmpty():
             break
         tried = pairs if edges is None else tried.unionByName(pairs)
-        found = _verified(pairs, texts, threshold).checkpoint()
+        found = materialize(_verified(pairs, texts, threshold))
         edges = found if edges is None else edges.unionByName(found)
         if turn < PIVOT_ROUNDS:
             labels = components(edges, nodes)
@@ -197,9 +197,3 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null = lambda c: F.when(F.col(c) != LOWEST, F.col(c))
     return out.join(sizes, "label").select(null("node").alias(id_col), null("label").alias("class_id"), "class_size")
 
-
-def set_checkpoint_folder(spark) -> None:
-    """The shared folder of the session; in a test session without one, a folder under the warehouse."""
-    from tastegrid.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
