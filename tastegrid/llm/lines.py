@@ -56,8 +56,11 @@ def within_one_word(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (_agree(a, b) + _agree(F.reverse(a), F.reverse(b)) >= longest - 1)
 
 
-def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_id, _h, _gone): numbers of the removed lines per row of ``docs`` (_id, _h, _text), rows without any left out."""
+def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, dealt: DataFrame | None = None) -> DataFrame:
+    """(_id, _h, _gone): numbers of the removed lines per row of ``docs`` (_id, _h, _text), rows without any left out.
+
+    ``dealt`` may hold the same rows dealt by _id and _h.
+    """
     lines = _line_rows(docs)
     n = (F.length("_norm") - F.length(F.replace(F.col("_norm"), F.lit(" "), F.lit(""))) + 1).cast("int")
     at = F.struct("_id", "_h", "_line")
@@ -70,42 +73,44 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.max(F.col("_keys")[k]).alias(f"_k{k}") for k in range(4)))
 
     # A collision in _a alone only lets a line pass that has no partner.
-    halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.explode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_k"))
+    # A collision in _a alone only lets a line pass that has no partner.
+    halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.posexplode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_part", "_k"))
     shared = halves.groupBy("_k").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_k")
-    hopeful = first.filter(F.col("_k0").isNotNull()).join(halves.join(shared, "_k", "left_semi").select("_a"), "_a", "left_semi")
+    # Which half stays the same: bit 1 the first, bit 2 the last.
+    same = F.bit_or(F.when(F.col("_part") % 2 == 0, 1).otherwise(2)).alias("_same")
+    hopeful = first.filter(F.col("_k0").isNotNull()).select("_a", "_first").join(
+        halves.join(shared, "_k", "left_semi").groupBy("_a").agg(same), "_a")
 
-    # Words of the hopeful lines, read at their first place. An explicit exchange follows each table that several
-    # branches read, so that they read its shuffle and do not compute it again.
+    # Words of the hopeful lines, read at their first place. A line is known by that place from here on.
+    # An explicit exchange follows what several branches read, so that they share its shuffle.
     wanted = hopeful.groupBy(F.col("_first._id").alias("_id"), F.col("_first._h").alias("_h")).agg(
-        F.collect_list(F.struct(F.col("_first._line").alias("line"), "_a", "_b")).alias("_wanted"))
-    found = docs.join(wanted, ["_id", "_h"]).withColumn("_parts", F.split("_text", "\n")).select(
-        "_id", "_h", "_parts", F.explode("_wanted").alias("_w"))
-    words = found.select(
-        "_w._a", "_w._b", F.struct("_id", "_h", F.col("_w.line").alias("_line")).alias("_first"),
-        F.split(F.trim(F.element_at("_parts", F.col("_w.line") + 1), F.lit(" \t\r\v\f")), " ").alias("_words")).repartition("_a", "_b")
+        F.collect_list(F.struct(F.col("_first._line").alias("line"), "_same")).alias("_wanted"))
+    found = (docs if dealt is None else dealt).join(wanted, ["_id", "_h"]).select("_id", "_h", F.split("_text", "\n").alias("_parts"), F.explode("_wanted").alias("_w"))
+    words = found.select(F.struct("_id", "_h", F.col("_w.line").alias("_line")).alias("_first"), "_w._same", F.split(F.trim(
+        F.element_at("_parts", F.col("_w.line") + 1), F.lit(" \t\r\v\f")), " ").alias("_words")).repartition("_first")
 
     hashed = words.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     size = F.size("_hashes")
-    variants = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.struct(
+    half = F.floor(size / 2).cast("int")
+    places = F.sequence(F.when(F.col("_same") == 1, half).otherwise(0), F.when(F.col("_same") == 2, half).otherwise(size - 1))
+    variants = F.transform(places, lambda i: F.struct(
         F.xxhash64(F.slice("_hashes", F.lit(1), i), F.slice("_hashes", i + 2, size)).alias("v"), i.alias("i")))
     whole = F.struct(F.xxhash64("_hashes", F.lit(None).cast("array<bigint>")).alias("v"), F.lit(-1).alias("i"))
-    emitted = hashed.select("_a", "_b", "_first", F.explode(F.concat(F.array(whole), variants)).alias("_v")).select(
-        "_v.v", "_v.i", F.struct("_first", "_a", "_b").alias("_line"))
+    emitted = hashed.select("_first", F.explode(F.concat(F.array(whole), variants)).alias("_v")).select("_v.v", "_v.i", "_first")
     # Earliest line per (v, i); of a v, the line that is v itself (i = -1) and the earliest that is v with a word more.
-    best = emitted.groupBy("v", "i").agg(F.min("_line").alias("_best"), F.count(F.lit(1)).alias("_c")).repartition("v")
+    best = emitted.groupBy("v", "i").agg(F.min("_first").alias("_best"), F.count(F.lit(1)).alias("_c"))
     around = best.groupBy("v").agg(F.min(F.when(F.col("i") >= 0, F.col("_best"))).alias("_longer"),
-                                   F.min(F.when(F.col("i") < 0, F.col("_best"))).alias("_shorter"))
-    met = best.join(around, "v").filter((F.col("_c") > 1) | (F.col("_longer").isNotNull() & F.col("_shorter").isNotNull())).select(
-        "v", "i", F.array_distinct(F.array(F.col("_best"), F.when(F.col("i") < 0, F.col("_longer")).otherwise(F.col("_shorter")))).alias("_bests"))
-    pairs = emitted.join(met, ["v", "i"]).select("_line", F.explode("_bests").alias("_best")).filter(
-        F.col("_best._first") < F.col("_line._first")).select(
-        "_line._a", "_line._b", F.col("_best._a").alias("_oa"), F.col("_best._b").alias("_ob")).distinct()
-    own = words.select("_a", "_b", "_words")
-    other = words.select(F.col("_a").alias("_oa"), F.col("_b").alias("_ob"), F.col("_words").alias("_others"))
-    near = pairs.join(own, ["_a", "_b"]).join(other, ["_oa", "_ob"]).filter(
-        within_one_word(F.col("_words"), F.col("_others"))).select("_a", "_b").distinct()
-
-    kept = first.select("_a", "_b", "_first").join(near, ["_a", "_b"], "left_anti").withColumn("_keep", F.lit(True))
+                                   F.min(F.when(F.col("i") < 0, F.col("_best"))).alias("_shorter"), F.max("_c").alias("_most")).filter(
+        "_most > 1 or (_longer is not null and _shorter is not null)")
+    met = best.join(around, "v").select("v", "i", F.array_distinct(F.array(
+        "_best", F.when(F.col("i") < 0, F.col("_longer")).otherwise(F.col("_shorter")))).alias("_bests"))
+    pairs = emitted.join(met, ["v", "i"]).select("_first", F.explode("_bests").alias("_best")).filter("_best < _first").distinct()
+    own = words.select("_first", "_words")
+    other = words.select(F.col("_first").alias("_best"), F.col("_words").alias("_others"))
+    near = pairs.join(own, "_first").join(other, "_best").filter(
+        within_one_word(F.col("_words"), F.col("_others"))).select("_first").distinct()
+
+    kept = first.select("_a", "_b", "_first").join(near, "_first", "left_anti").withColumn("_keep", F.lit(True))
     # A line row stays only at the first place of a line that no earlier line is near to.
     gone = positions.join(kept.select("_a", "_b", "_first"), ["_a", "_b"], "left").filter(
         F.col("_first").isNull() | (F.col("_first") != F.col("_at")))
@@ -116,14 +121,22 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the removed lines taken out of the text, ``n_lines`` and ``lines_removed``."""
     lowest = -(1 << 63)
-    table = docs.withColumns({"_id": F.coalesce(F.col(id_col).cast("bigint"), F.lit(lowest)),
-                              "_h": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
-    texts = table.select("_id", "_h", F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    gone = removed_lines(texts, min_words)
-    parts = F.split(text_col, "\n")
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    table = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(lowest)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h"),
+        F.col(text_col).alias("_text"), F.struct(*others).alias("_others") if others else F.lit(None).cast("int").alias("_others"))
+    # The texts cross one shuffle: lines are read from it, and cut from it. Both readers see all its columns (the
+    # condition always holds), since Spark shares an exchange only between equal plans.
+    dealt = table.repartition("_id", "_h")
+    gone = removed_lines(table.select("_id", "_h", "_text"), min_words,
+                         dealt.filter(F.xxhash64("_others") >= lowest).select("_id", "_h", "_text") if others else dealt)
+    parts = F.split("_text", "\n")
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    return table.join(gone, ["_id", "_h"], "left").withColumns({
+    whole = dealt.filter(F.xxhash64("_others") >= lowest) if others else dealt
+    out = whole.join(gone, ["_id", "_h"], "left").withColumns({
         "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("bigint"),
         "lines_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
-        text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left),
-    }).select(*docs.columns, "n_lines", "lines_removed")
+        id_col: F.when(F.col("_id") != lowest, F.col("_id")),
+        text_col: F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(left),
+    })
+    return out.select(*(F.col(f"_others.{c}").alias(c) if c in others else F.col(c) for c in docs.columns), "n_lines", "lines_removed")

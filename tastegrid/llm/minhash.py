@@ -27,8 +27,9 @@ from tastegrid.session import ensure_checkpoint_dir, materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4   # a pair of similarity 0.8 is missed with probability 5e-8
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 PIECE = 1 << 21
+SIDE = 1000            # rows on each side of a comparison task
 LOWEST = -(1 << 63)
 
 
@@ -120,6 +121,66 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return rows.mapInArrow(run, "x bigint, y bigint").distinct()
 
 
+def _rest(placed: DataFrame, texts: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
+    """(x, y) pairs of different classes in one bucket that are similar by their hashed shingles.
+
+    Members of the buckets that are still open are dealt to sides of about ``SIDE`` rows; a task gets two sides and
+    compares them in blocks: by their short signatures first (a pair of the wanted similarity has fewer than
+    five of eight slots equal with a probability below 1e-6), then by their shingles. A pair is looked
+    at in the first band that both have, and only similar pairs leave the task.
+    """
+    open_ = placed.groupBy("band").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter(
+        "_lo != _hi").select("band", F.ceil(F.col("_n") / SIDE).cast("int").alias("_sides"))
+    mine = F.pmod(F.xxhash64("node", F.lit(3)), F.col("_sides")).cast("int")
+    dealt = placed.join(open_, "band").withColumn("_side", mine).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1))).select(
+        "band", "node", "label", "_side", F.least("_side", "_other").alias("_p"), F.greatest("_side", "_other").alias("_q"))
+
+    def describe(batches):
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            prints, sets = [], []
+            for i, j in pieces(offsets, PIECE):
+                text, values, counts = shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], SHINGLE)
+                prints.extend(r.tobytes() for r in prob_minhash(text, values, counts.astype(np.float64), j - i).astype(np.uint8))
+                # A shingle that occurs n times is n elements; 32 bits of each.
+                nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                element = mix(np.repeat(values, counts) + nth.astype(np.uint64)).astype(np.uint32)
+                owner = np.repeat(text, counts)
+                order = np.lexsort((element, owner))
+                element, bound = element[order], np.searchsorted(owner, np.arange(j - i + 1))
+                sets.extend(element[bound[k]:bound[k + 1]].tobytes() for k in range(j - i))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())],
+                                             ["node", "_print", "_set"])
+
+    open_nodes = dealt.select("node").distinct()
+    described = texts.select("_id", "_text").join(open_nodes.withColumnRenamed("node", "_id"), "_id", "left_semi").mapInArrow(
+        describe, "node bigint, _print binary, _set binary")
+    rows = dealt.join(described, "node").join(copies.select(F.col("_node").alias("node"), "_bands"), "node")
+
+    def compare(table):
+        node, label, side = (table[c].to_numpy() for c in ("node", "label", "_side"))
+        p, q = table["_p"][0].as_py(), table["_q"][0].as_py()
+        band = table["band"][0].as_py()
+        prints = np.frombuffer(b"".join(table["_print"].to_pylist()), np.uint8).reshape(len(node), -1)
+        sets = [np.frombuffer(x, np.uint32) for x in table["_set"].to_pylist()]
+        bands = np.array(table["_bands"].to_pylist(), np.int64)
+        place = (bands == band).argmax(axis=1)[0]  # a band's key tells its place
+        left, right = np.flatnonzero(side == p), np.flatnonzero(side == q)
+        found = [], []
+        for i in left:
+            other = right[(label[right] != label[i]) & (right > i if p == q else True)]
+            other = other[(prints[other] == prints[i]).mean(axis=1) >= threshold - 0.18]
+            other = other[~(bands[other, :place] == bands[i, :place]).any(axis=1)]
+            for j in other:
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                if shared >= (threshold - 0.001) * (len(sets[i]) + len(sets[j]) - shared):
+                    found[0].append(node[i]), found[1].append(node[j])
+        return pa.table({"x": pa.array(found[0], pa.int64()), "y": pa.array(found[1], pa.int64())})
+
+    return rows.groupBy("band", "_p", "_q").applyInArrow(compare, "x bigint, y bigint")
+
+
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each node's component, by alternating star contractions.
 
@@ -178,10 +239,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 "_lo != _hi").select("band", F.col("_p.node").alias("y"), F.col("_p.label").alias("_other"))
             pairs = placed.join(pivots, "band").filter("label != _other").select(F.col("node").alias("x"), "y")
         else:
-            open_ = placed.groupBy("band").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo != _hi")
-            rest = placed.join(open_.select("band"), "band", "left_semi")
-            pairs = rest.join(rest.select("band", F.col("node").alias("y"), F.col("label").alias("_other")), "band").filter(
-                "label < _other").select(F.col("node").alias("x"), "y")
+            pairs = _rest(placed, texts, copies, threshold)
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         pairs = materialize(pairs if edges is None else pairs.join(tried, ["x", "y"], "left_anti"))
         if pairs.isEmpty():
