@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_WORDS = 8
+LOWEST = -(1 << 63)
 
 
 def _line_rows(docs: DataFrame) -> DataFrame:
@@ -34,13 +35,14 @@ def _line_rows(docs: DataFrame) -> DataFrame:
 
 
 def _half_keys(norm: Column, n: Column) -> Column:
-    """Hashes of the first and last half for pairs whose longer line has n or n + 1 words."""
+    """Hashes of the first half (even) and the last half (odd) for pairs whose longer line has n or n + 1 words."""
     keys = []
     for more in (0, 1):
         base = n + more
         half = F.floor(base / 2).cast("int")
-        keys.append(F.xxhash64(F.lit(0), base, F.call_function("substring_index", norm, F.lit(" "), half)))
-        keys.append(F.xxhash64(F.lit(1), base, F.call_function("substring_index", norm, F.lit(" "), -(base - half))))
+        for last, count in ((0, half), (1, -(base - half))):
+            value = F.xxhash64(base, F.call_function("substring_index", norm, F.lit(" "), count))
+            keys.append(value.bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(last)))
     return F.array(*keys)
 
 
@@ -71,13 +73,16 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, dealt: DataFrame
     # The keys of equal lines are equal; they are fields so that the aggregate needs no arrays.
     first = keyed.groupBy("_a", "_b").agg(F.min("_at").alias("_first"), *(
         F.max(F.col("_keys")[k]).alias(f"_k{k}") for k in range(4)))
+    # Every reader of ``first`` names all its columns, in a condition that always holds: Spark shares a shuffle only
+    # between equal plans, and would prune them differently.
+    first = first.filter(F.coalesce(F.xxhash64("_k0", "_k1", "_k2", "_k3", "_first"), F.lit(0)) >= LOWEST)
 
     # A collision in _a alone only lets a line pass that has no partner.
     # A collision in _a alone only lets a line pass that has no partner.
-    halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.posexplode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_part", "_k"))
+    halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.explode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_k"))
     shared = halves.groupBy("_k").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_k")
     # Which half stays the same: bit 1 the first, bit 2 the last.
-    same = F.bit_or(F.when(F.col("_part") % 2 == 0, 1).otherwise(2)).alias("_same")
+    same = F.bit_or(F.col("_k").bitwiseAND(F.lit(1)) + 1).alias("_same")
     hopeful = first.filter(F.col("_k0").isNotNull()).select("_a", "_first").join(
         halves.join(shared, "_k", "left_semi").groupBy("_a").agg(same), "_a")
 
@@ -98,45 +103,43 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, dealt: DataFrame
     whole = F.struct(F.xxhash64("_hashes", F.lit(None).cast("array<bigint>")).alias("v"), F.lit(-1).alias("i"))
     emitted = hashed.select("_first", F.explode(F.concat(F.array(whole), variants)).alias("_v")).select("_v.v", "_v.i", "_first")
     # Earliest line per (v, i); of a v, the line that is v itself (i = -1) and the earliest that is v with a word more.
-    best = emitted.groupBy("v", "i").agg(F.min("_first").alias("_best"), F.count(F.lit(1)).alias("_c"))
+    best = emitted.groupBy("v", "i").agg(F.min("_first").alias("_best"), F.count(F.lit(1)).alias("_c")).repartition("v")
     around = best.groupBy("v").agg(F.min(F.when(F.col("i") >= 0, F.col("_best"))).alias("_longer"),
                                    F.min(F.when(F.col("i") < 0, F.col("_best"))).alias("_shorter"), F.max("_c").alias("_most")).filter(
         "_most > 1 or (_longer is not null and _shorter is not null)")
-    met = best.join(around, "v").select("v", "i", F.array_distinct(F.array(
+    met = best.join(around, "v").filter("_c + _most > 0").select("v", "i", F.array_distinct(F.array(
         "_best", F.when(F.col("i") < 0, F.col("_longer")).otherwise(F.col("_shorter")))).alias("_bests"))
     pairs = emitted.join(met, ["v", "i"]).select("_first", F.explode("_bests").alias("_best")).filter("_best < _first").distinct()
-    own = words.select("_first", "_words")
-    other = words.select(F.col("_first").alias("_best"), F.col("_words").alias("_others"))
+    own = words.select("_first", "_words", "_same")
+    other = words.select(F.col("_first").alias("_best"), F.col("_words").alias("_others"), F.col("_same").alias("_also"))
     near = pairs.join(own, "_first").join(other, "_best").filter(
-        within_one_word(F.col("_words"), F.col("_others"))).select("_first").distinct()
+        within_one_word(F.col("_words"), F.col("_others")) & (F.col("_same") + F.col("_also") > 0)).select("_first").distinct()
 
-    kept = first.select("_a", "_b", "_first").join(near, "_first", "left_anti").withColumn("_keep", F.lit(True))
-    # A line row stays only at the first place of a line that no earlier line is near to.
-    gone = positions.join(kept.select("_a", "_b", "_first"), ["_a", "_b"], "left").filter(
-        F.col("_first").isNull() | (F.col("_first") != F.col("_at")))
+    # A repeated line goes everywhere but at its first place, and there too if an earlier line is near.
+    gone = positions.join(first.select("_a", "_b", "_first"), ["_a", "_b"]).filter(F.col("_first") != F.col("_at")).select(
+        "_at").unionByName(near.select(F.col("_first").alias("_at")))
     return gone.groupBy(F.col("_at._id").alias("_id"), F.col("_at._h").alias("_h")).agg(
         F.array_sort(F.collect_list("_at._line")).alias("_gone"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the removed lines taken out of the text, ``n_lines`` and ``lines_removed``."""
-    lowest = -(1 << 63)
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     table = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(lowest)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h"),
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h"),
         F.col(text_col).alias("_text"), F.struct(*others).alias("_others") if others else F.lit(None).cast("int").alias("_others"))
     # The texts cross one shuffle: lines are read from it, and cut from it. Both readers see all its columns (the
     # condition always holds), since Spark shares an exchange only between equal plans.
     dealt = table.repartition("_id", "_h")
     gone = removed_lines(table.select("_id", "_h", "_text"), min_words,
-                         dealt.filter(F.xxhash64("_others") >= lowest).select("_id", "_h", "_text") if others else dealt)
+                         dealt.filter(F.xxhash64("_others") >= LOWEST).select("_id", "_h", "_text") if others else dealt)
     parts = F.split("_text", "\n")
     left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    whole = dealt.filter(F.xxhash64("_others") >= lowest) if others else dealt
+    whole = dealt.filter(F.xxhash64("_others") >= LOWEST) if others else dealt
     out = whole.join(gone, ["_id", "_h"], "left").withColumns({
         "n_lines": F.coalesce(F.size(parts), F.lit(0)).cast("bigint"),
         "lines_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
-        id_col: F.when(F.col("_id") != lowest, F.col("_id")),
+        id_col: F.when(F.col("_id") != LOWEST, F.col("_id")),
         text_col: F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(left),
     })
     return out.select(*(F.col(f"_others.{c}").alias(c) if c in others else F.col(c) for c in docs.columns), "n_lines", "lines_removed")
