@@ -35,15 +35,19 @@ def _line_rows(docs: DataFrame) -> DataFrame:
 
 
 def _half_keys(norm: Column, n: Column) -> Column:
-    """Hashes of the first half (even) and the last half (odd) for pairs whose longer line has n or n + 1 words."""
-    keys = []
-    for more in (0, 1):
-        base = n + more
-        half = F.floor(base / 2).cast("int")
-        for last, count in ((0, half), (1, -(base - half))):
-            value = F.xxhash64(base, F.call_function("substring_index", norm, F.lit(" "), count))
-            keys.append(value.bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(last)))
-    return F.array(*keys)
+    """Hashes of the first half (even) and the last half (odd) for pairs whose longer line has n or n + 1 words.
+
+    For such a longer line of b words the first half has b // 2 words and the last half b - b // 2, so that one
+    edit leaves one of them as it is. Of the four halves for b = n and b = n + 1 two are the same.
+    """
+    half = F.floor(n / 2).cast("int")
+    odd = n % 2
+
+    def key(last: Column, count: Column) -> Column:
+        part = F.call_function("substring_index", norm, F.lit(" "), F.when(last == 1, -count).otherwise(count))
+        return F.xxhash64(count, part).bitwiseAND(F.lit(-2)).bitwiseOR(last.cast("bigint"))
+
+    return F.array(key(F.lit(0), half), key(F.lit(1), half + 1), key(1 - odd, half + odd))
 
 
 def _agree(a: Column, b: Column) -> Column:
@@ -72,14 +76,14 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, dealt: DataFrame
     positions = keyed.select("_a", "_b", "_at")
     # The keys of equal lines are equal; they are fields so that the aggregate needs no arrays.
     first = keyed.groupBy("_a", "_b").agg(F.min("_at").alias("_first"), *(
-        F.max(F.col("_keys")[k]).alias(f"_k{k}") for k in range(4)))
+        F.max(F.col("_keys")[k]).alias(f"_k{k}") for k in range(3)))
     # Every reader of ``first`` names all its columns, in a condition that always holds: Spark shares a shuffle only
     # between equal plans, and would prune them differently.
-    first = first.filter(F.coalesce(F.xxhash64("_k0", "_k1", "_k2", "_k3", "_first"), F.lit(0)) >= LOWEST)
+    first = first.filter(F.coalesce(F.xxhash64("_k0", "_k1", "_k2", "_first"), F.lit(0)) >= LOWEST)
 
     # A collision in _a alone only lets a line pass that has no partner.
     # A collision in _a alone only lets a line pass that has no partner.
-    halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.explode(F.array("_k0", "_k1", "_k2", "_k3")).alias("_k"))
+    halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.explode(F.array("_k0", "_k1", "_k2")).alias("_k"))
     shared = halves.groupBy("_k").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_k")
     # Which half stays the same: bit 1 the first, bit 2 the last.
     same = F.bit_or(F.col("_k").bitwiseAND(F.lit(1)) + 1).alias("_same")
