@@ -29,7 +29,7 @@ VOCABULARY = 5000     # features kept
 WINDOWS = 10000       # bound of the training sequences
 REACH = 8             # tokens on each side of a training sequence's middle
 STEPS = 60
-PIECE = 1 << 21
+PIECE = 1 << 19
 
 
 @dataclass
