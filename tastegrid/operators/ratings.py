@@ -86,7 +86,7 @@ def random_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> tup
 
 def key_split(df: DataFrame, user: str = "userId", item: str = "movieId", train_tenths: int = 8) -> DataFrame:
     """Label every row ``train`` or ``test`` by its key, the same on every run and cluster."""
-    bucket = F.pmod(F.col(user) * 31 + F.col(item) * 17, F.lit(10))
+    bucket = F.pmod(F.col(user).cast("bigint") * 31 + F.col(item).cast("bigint") * 17, F.lit(10))
     return df.withColumn("split", F.when(bucket < train_tenths, "train").otherwise("test"))
 
 
@@ -94,7 +94,7 @@ def holdout_last(df: DataFrame, n: int, order: Sequence[str], user: str = "userI
     """Label the ``n`` latest rows of every user ``test`` and all older ones ``train``.
 
     The ranking keeps ``n`` rows per user before the shuffle; the label comes back over the
-    (user, item) key, which no user dominates.
+    (user, item) key, which no user dominates. Needs one row per (user, item).
     """
     recent = Window.partitionBy(user).orderBy(*[F.desc(c) for c in order])
     held = df.select(user, item, *order).withColumn("_n", F.row_number().over(recent)).filter(F.col("_n") <= n)

@@ -406,8 +406,7 @@ from recs r join movies m on m."movieId" = r."movieId"
 join (select "movieId", round(sum(weighted_rating), 6) decayed_score from decayed group by 1) d on d."movieId" = r."movieId"
 where contains(genre_name, '{GENRE}') and vote_count >= {MIN_VOTES}"""
 BODIES["explain_recs"] = """
-select "movieId", rank, rec_id, concat('The movie ', chr(39), title, chr(39),
-  ' is recommended because it shares the genre ', chr(39), genre_name, chr(39), ' with your selected movie.') explanation
+select "movieId", rank, rec_id, concat(title, ': same genre (', genre_name, ') as the title you picked') explanation
 from same_genre_lists"""
 BODIES["hybrid_union"] = """
 select "userId" list_for, 'collaborative' source, rank, "movieId" from recs
