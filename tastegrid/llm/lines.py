@@ -81,7 +81,6 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, dealt: DataFrame
     # between equal plans, and would prune them differently.
     first = first.filter(F.coalesce(F.xxhash64("_k0", "_k1", "_k2", "_first"), F.lit(0)) >= LOWEST)
 
-    # A collision in _a alone only lets a line pass that has no partner.
     # A collision in _a alone only lets a line pass that has no partner.
     halves = first.filter(F.col("_k0").isNotNull()).select("_a", F.explode(F.array("_k0", "_k1", "_k2")).alias("_k"))
     shared = halves.groupBy("_k").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_k")
