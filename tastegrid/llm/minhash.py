@@ -243,7 +243,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         pairs = materialize(pairs if edges is None else pairs.join(tried, ["x", "y"], "left_anti"))
         if pairs.isEmpty():
-            break
+            if edges is None:
+                break  # no bucket is open
+            continue   # this round's pivots were all compared before, other members were not
         tried = pairs if edges is None else tried.unionByName(pairs)
         found = materialize(_verified(pairs, texts, threshold))
         edges = found if edges is None else edges.unionByName(found)
