@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 # Element types of the nested columns.
 CAST_TYPE = (
-    "array<struct<cast_id:int,character:string,credit_id:string,gender:int,id:int,name:string,order:int>>"
+    "array<struct<cast_id:bigint,character:string,credit_id:string,gender:int,id:bigint,name:string,order:bigint>>"
 )
-CREW_TYPE = "array<struct<credit_id:string,department:string,gender:int,id:int,job:string,name:string>>"
+CREW_TYPE = "array<struct<credit_id:string,department:string,gender:int,id:bigint,job:string,name:string>>"
 GENRE_TYPE = "array<struct<id:int,name:string>>"
 COMPANY_TYPE = "array<struct<id:int,name:string>>"
 COUNTRY_TYPE = "array<struct<iso_3166_1:string,name:string>>"
 LANGUAGE_TYPE = "array<struct<iso_639_1:string,name:string>>"
 
+# A quoted string with its escapes, a run without quotes, or a quote that nothing closes.
+QUOTED_OR_BARE = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"]"""
+
 
 def whole_number(column: str | Column, as_type: str = "double") -> Column:
     """Digits of a text as a number; null where there are none."""
@@ -35,14 +38,20 @@ def is_true(column: str | Column) -> Column:
 def literal_to_json(column: str | Column) -> Column:
     """Python-literal text to JSON text.
 
-    ``None``, ``True`` and ``False`` are rewritten in value position only, so a name that contains
-    one of the words keeps it. Quotes need no rewriting: the parser takes single quotes.
+    ``None``, ``True`` and ``False`` are rewritten outside quoted strings only, so a name that holds one of
+    the words keeps it. Quotes need no rewriting: the parser takes single quotes.
     """
     text = F.col(column) if isinstance(column, str) else column
+    pieces = F.regexp_extract_all(text, F.lit(QUOTED_OR_BARE), F.lit(0))
+    rewritten = F.array_join(F.transform(pieces, _bare_to_json), "")
+    return F.when(text.rlike("None|True|False"), rewritten).otherwise(text)
+
+
+def _bare_to_json(piece: Column) -> Column:
+    bare = piece
     for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
-        rewritten = F.regexp_replace(text, rf"([:\[]\s*){word}(?=\s*[,}}\]])", f"$1{value}")
-        text = F.when(text.contains(word), rewritten).otherwise(text)
-    return text
+        bare = F.regexp_replace(bare, rf"\b{word}\b", value)
+    return F.when(piece.rlike("^['\"]"), piece).otherwise(bare)
 
 
 def parse_list(column: str | Column, element_type: str) -> Column:

@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.joins import salted_join
+from tastegrid.operators.ranking import global_positions
+from tastegrid.session import materialize
+
+TILE, USERS = 512, 4096  # items and users of one side of a correlation cell
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """(column_name, n_rows, n_null, n_distinct) of every column, read once.
 
     Values are counted per (column, value) first, so neither a frequent value nor a column is
-    brought into one task.
+    brought into one task. A long text is represented by its digest.
     """
-    values = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).unpivot(
+    def key(name: str) -> Column:
+        value = F.col(name).cast("string")
+        return F.when(F.length(value) > 64, F.md5(value)).otherwise(value).alias(name)
+
+    values = df.select(*[key(c) for c in df.columns]).unpivot(
         [], list(df.columns), "column_name", "value").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     return values.groupBy("column_name").agg(
         F.sum("n").alias("n_rows"),
@@ -60,14 +68,17 @@ def genre_diversity(recs: DataFrame, genres: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """(bin, n): equal-width bins between the column's extremes, the upper edge in the last bin."""
-    edges = df.agg(F.struct(
+    """(bin, n): equal-width bins between the column's extremes, the upper edge in the last bin.
+
+    Rows are counted per value first and the counts are stored: ``df`` is computed once for edges and bins.
+    """
+    counts = materialize(df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n")))
+    edges = counts.agg(F.struct(
         F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))).scalar()
     low, high = F.col("_edges.low"), F.col("_edges.high")
     place = F.floor((F.col(column) - low) * bins / F.nullif(high - low, F.lit(0.0))) + 1
-    return df.filter(F.col(column).isNotNull()).withColumn("_edges", edges).groupBy(
-        F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("bigint").alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("_edges", edges).groupBy(
+        F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("bigint").alias("bin")).agg(F.sum("_n").alias("n"))
 
 
 def recommended_avg_rating(recs: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -93,7 +104,7 @@ def matrix_tiles(means: DataFrame, width: int = 50, user: str = "userId", item:
     number of columns however many items there are, and one row of a heavy user is a tile, not all
     their ratings. ``means`` holds one value per (user, item).
     """
-    tile = F.floor(F.col(item) / width).cast("int")
+    tile = F.floor(F.col(item) / width).cast("bigint")
     placed = means.select(user, tile.alias("tile"), F.pmod(F.col(item), F.lit(width)).alias("_c"), "rating")
     cells = [F.sum(F.when(F.col("_c") == c, F.col("rating")).otherwise(0.0)).alias(f"c{c}") for c in range(width)]
     return placed.groupBy(user, "tile").agg(*cells)
@@ -107,37 +118,47 @@ def most_rated(ratings: DataFrame, n: int, item: str = "movieId") -> DataFrame:
 def item_correlation(ratings: DataFrame, items: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
     """Pearson correlation of every two of ``items`` over all users, unrated cells counting as 0.
 
-    ``items`` is a bounded set such as ``most_rated(ratings, 100)``: its ids are read to the driver
-    and the products of a partition are summed in one items x items array, so a user who rated
-    all of them adds to that array instead of emitting pairs. Items rated alike by all users have
-    no correlation and give null.
+    Items are numbered and cut into tiles; a cell takes two tiles and a bucket of users and multiplies two
+    matrices of bounded size, so neither an item that everybody rated nor a user who rated every item is
+    more than a column or row of many cells. The result has one row per pair of ``items``: choose them, for
+    instance by ``most_rated(ratings, 100)``. Items rated alike by all users have no correlation and give
+    null. Needs one rating per (user, item).
     """
-    ids = sorted(r[0] for r in items.select(item).limit(2001).collect())
-    if len(ids) > 2000:
-        raise ValueError("item_correlation takes at most 2000 items")
-    size = len(ids)
-    chosen = F.broadcast(ratings.sparkSession.createDataFrame(list(zip(ids, range(size))), f"{item} int, _at int"))
-    n_users = ratings.agg(F.count_distinct(user)).scalar()
-    rows = ratings.select(user, item, "rating").join(chosen, item).groupBy(user).agg(
-        F.collect_list("_at").alias("at"), F.collect_list("rating").alias("x"))
-
-    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, common = np.zeros((size, size)), np.zeros((size, size))
-        for batch in batches:
-            at = batch.column("at")
-            lengths = np.diff(at.offsets.to_numpy())
-            dense = np.zeros((len(lengths), size))
-            row = np.repeat(np.arange(len(lengths)), lengths)
-            dense[row, at.flatten().to_numpy()] = batch.column("x").flatten().to_numpy()
-            total += dense.T @ dense
-            common += (dense != 0).T.astype(float) @ (dense != 0)
-        a, b = np.nonzero(np.triu(np.ones((size, size))))
-        yield pa.RecordBatch.from_pydict({
-            "a": a.astype("int32"), "b": b.astype("int32"), "sxy": total[a, b], "n_common": common[a, b].astype("int64")})
-
-    cells = rows.mapInArrow(products, "a int, b int, sxy double, n_common bigint").groupBy("a", "b").agg(
+    placed = global_positions(items.select(item).distinct(), [F.asc(item)], "_at").select(item, (F.col("_at") - 1).alias("_at"))
+    size = placed.count()
+    n_users = ratings.agg(F.count_distinct(user)).first()[0]
+    tiles, buckets = max(1, math.ceil(size / TILE)), max(1, math.ceil(n_users / USERS))
+    chosen = materialize(ratings.select(F.col(user).alias("_user"), item, "rating").join(placed, item))
+    rows = chosen.withColumn("_tile", F.floor(F.col("_at") / TILE)).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select(
+        F.least("_tile", "_other").alias("p"), F.greatest("_tile", "_other").alias("q"),
+        F.pmod(F.xxhash64("_user"), F.lit(buckets)).alias("bucket"), "_user", "_tile", "_at", "rating")
+    tile = TILE
+
+    def products(cell: pa.Table) -> pa.Table:
+        p, q = cell["p"][0].as_py(), cell["q"][0].as_py()
+        users, row = np.unique(cell["_user"].to_numpy(), return_inverse=True)
+        own, at, x = (cell[c].to_numpy() for c in ("_tile", "_at", "rating"))
+
+        def side(number):
+            inside = own == number
+            width = min(tile, size - number * tile)
+            values, known = np.zeros((len(users), width)), np.zeros((len(users), width), np.float32)
+            values[row[inside], at[inside] - number * tile] = x[inside]
+            known[row[inside], at[inside] - number * tile] = 1
+            return values, known
+
+        (left, left_known), (right, right_known) = side(p), side(q)
+        a, b = np.indices((left.shape[1], right.shape[1]))
+        keep = (a + p * tile <= b + q * tile)
+        total, common = left.T @ right, left_known.T @ right_known
+        return pa.table({"a": a[keep] + p * tile, "b": b[keep] + q * tile, "sxy": total[keep],
+                         "n_common": common[keep].astype("int64")})
+
+    cells = rows.groupBy("p", "q", "bucket").applyInArrow(
+        products, "a bigint, b bigint, sxy double, n_common bigint").groupBy("a", "b").agg(
         F.sum("sxy").alias("sxy"), F.sum("n_common").alias("n_common"))
-    sums = ratings.join(chosen, item).groupBy("_at").agg(
+    sums = chosen.groupBy("_at").agg(
         F.sum("rating").alias("s"), F.first(item).alias("id"))
     squares = cells.filter("a = b").select(F.col("a").alias("_at"), F.col("sxy").alias("ss"))
     stats = sums.join(squares, "_at")
@@ -149,7 +170,7 @@ def item_correlation(ratings: DataFrame, items: DataFrame, user: str = "userId",
     spread = F.sqrt(F.greatest(n * F.col("ssa") - F.col("sa") ** 2, F.lit(0.0))) * F.sqrt(
         F.greatest(n * F.col("ssb") - F.col("sb") ** 2, F.lit(0.0)))
     return (
-        cells.filter("a < b").join(left, "a").join(right, "b").withColumn("n", n_users)
+        cells.filter("a < b").join(left, "a").join(right, "b").withColumn("n", F.lit(n_users))
         .select("movie_a", "movie_b", "n_common",
                 ((n * F.col("sxy") - F.col("sa") * F.col("sb")) / F.nullif(spread, F.lit(0.0))).alias("correlation"))
     )

@@ -40,7 +40,7 @@ def cast_features(cast: DataFrame) -> DataFrame:
     """Cast size, lead actor (lowest order, then name) and gender counts in one aggregate."""
     return cast.groupBy("movie_id").agg(
         F.count("cast_name").alias("cast_count"),
-        F.min_by("cast_name", F.struct(F.coalesce("cast_order", F.lit(2**31 - 1)), "cast_name")).alias("lead_actor"),
+        F.min_by("cast_name", F.struct(F.coalesce("cast_order", F.lit(2**63 - 1)), "cast_name")).alias("lead_actor"),
         F.count_if(F.col("cast_gender") == FEMALE).alias("female_cast_count"),
         F.count_if(F.col("cast_gender") == MALE).alias("male_cast_count"),
     )

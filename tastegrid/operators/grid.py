@@ -62,7 +62,7 @@ def best_matches(
 
     Both sides have columns ``id`` and ``weights`` (an array of numbers). With ``terms`` the
     weights belong to the array of terms (text or integers) in that column and absent terms weigh
-    0; without it they are dense vectors of one length. The score is the cosine, or the inner
+    0; without it they are dense vectors, and two lengths are an error. The score is the cosine, or the inner
     product, rounded to ``digits``; equal scores rank by item id; a zero vector has cosine 0.
     ``exclude`` names (query_id, item_id) pairs to leave out, each of which belongs to one cell.
     ``n_queries``, ``n_items`` and ``row_bytes`` (the usual size of a vector) only choose the grid.
@@ -90,8 +90,9 @@ def best_matches(
     def best_in_cell(cell: pa.Table) -> pa.Table:
         return cell_matches(cell, k, terms is not None, cosine, digits, skip_same_id)
 
-    # A fixed partition count: cells are small in bytes but not in work, so they must not be merged.
-    parts = min(q_blocks * i_blocks, 100_000)
+    # A fixed partition count: cells are small in bytes but not in work, so they must not be merged. A task takes its
+    # cells one after the other, so more tasks than keep every core evenly busy gain nothing.
+    parts = min(q_blocks * i_blocks, 32 * spark.sparkContext.defaultParallelism)
     found = rows.repartition(parts, "qb", "ib").groupBy("qb", "ib").applyInArrow(best_in_cell, RESULT)
     ranked = top_n(found, k, ["query_id"], [F.desc("similarity"), F.asc("item_id")])
     return ranked.select("query_id", "rank", "item_id", "similarity")
@@ -168,7 +169,10 @@ def _flat(cell: pa.Table, column: str):
 def _dense_scores(cell, q_rows, i_rows, cosine) -> Iterator[tuple[int, np.ndarray]]:
     flat, offsets = _flat(cell, "weights")
     values = flat.to_numpy(zero_copy_only=False).astype("float64")
-    width = int(offsets[q_rows[0] + 1] - offsets[q_rows[0]])
+    lengths = np.diff(offsets)[np.concatenate([q_rows, i_rows])]
+    width = int(lengths[0])
+    if (lengths != width).any():
+        raise ValueError(f"vectors of lengths {lengths.min()} and {lengths.max()}")
     q = values[offsets[q_rows][:, None] + np.arange(width)]
     i = values[offsets[i_rows][:, None] + np.arange(width)]
     q_norm, i_norm = np.linalg.norm(q, axis=1), np.linalg.norm(i, axis=1)

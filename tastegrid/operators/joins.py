@@ -51,4 +51,4 @@ def prefer_first(left: DataFrame, right: DataFrame, on: Sequence[str], value: st
     joined = left.join(right.withColumnRenamed(value, "_preferred"), list(on), "full")
     chosen = F.coalesce("_preferred", value)
     keep = chosen.isNotNull() if sentinel is None else chosen != sentinel
-    return joined.select(*on, chosen.cast("int").alias(value)).filter(keep)
+    return joined.select(*on, chosen.cast("bigint").alias(value)).filter(keep)

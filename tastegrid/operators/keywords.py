@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.functions import scrub
-from tastegrid.operators.text import inverse_document_frequency, weigh_terms
+from tastegrid.functions import scores, scrub
+from tastegrid.operators.joins import salted_join
+from tastegrid.operators.text import inverse_document_frequency, label_index, weigh_terms
+from tastegrid.session import materialize
 
 JSON_KEYWORDS = "array<struct<id:int,name:string>>"
 
@@ -65,3 +67,17 @@ def keyword_tfidf(rows: DataFrame) -> DataFrame:
     n_movies = rows.agg(F.count_distinct("movie_id").alias("n_documents"))
     idf = inverse_document_frequency(terms, n_movies, term="keyword_name")
     return weigh_terms(terms, idf, "movie_id", "keyword_name")
+
+
+def keyword_vectors(rows: DataFrame) -> DataFrame:
+    """(movie_id, terms, weights): sparse TF-IDF vectors with a 0/1 term frequency.
+
+    Keywords are numbered from 0 by falling frequency, as a table of its own, so the vocabulary may be of any size.
+    """
+    known = materialize(rows.select("movie_id", "keyword_name").distinct())
+    n_movies = known.agg(F.count_distinct("movie_id")).scalar()
+    numbered = label_index(known, "keyword_name", "term").select(
+        "keyword_name", "term", scores.smoothed_idf(n_movies, F.col("label_count")).alias("weight"))
+    entries = salted_join(known, numbered, ["keyword_name"], "inner", spread_by=["movie_id"], salts=1)
+    packed = entries.groupBy("movie_id").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("_e"))
+    return packed.select("movie_id", F.col("_e.term").alias("terms"), F.col("_e.weight").alias("weights"))

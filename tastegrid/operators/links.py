@@ -13,7 +13,7 @@ def clean_links(small: DataFrame, full: DataFrame) -> DataFrame:
     """One valid link per movie, the small file's row first, with lengths, flags and a combined id."""
     both = small.withColumn("source", F.lit(0)).unionByName(full.withColumn("source", F.lit(1)))
     one = first_per_key(both.filter(F.col("movieId").isNotNull()), ["movieId"], ["source", "imdbId", "tmdbId"])
-    valid = one.withColumn("tmdbId", F.coalesce("tmdbId", F.lit(-1)).cast("int")).filter(
+    valid = one.withColumn("tmdbId", F.coalesce("tmdbId", F.lit(-1)).cast("bigint")).filter(
         (F.col("imdbId") > 0) & (F.col("tmdbId") >= 0))
     padded = valid.withColumn("imdbId", F.format_string("%07d", "imdbId"))
     return padded.select(

@@ -46,6 +46,25 @@ def global_positions(df: DataFrame, order: Sequence[Column], name: str = "positi
         name, F.col("_place") + F.col("_offset") + 1).drop("_part", "_place", "_offset")
 
 
+def quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> DataFrame:
+    """One row with one array: for every share the smallest value up to which at least that share of the rows lies.
+
+    Exact at every size: rows are counted per value, and the counts are summed along sorted ranges of values, so
+    no task holds more than one range. Nulls do not count; without values the array holds nulls.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = materialize(counts.repartitionByRange(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_value").withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_part").agg(F.sum("_n").alias("_size"))  # one row per partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    up_to = F.sum("_n").over(Window.partitionBy("_part").orderBy("_value")) + F.col("_offset")
+    summed = placed.join(F.broadcast(offsets), "_part").withColumn("_up_to", up_to).withColumn(
+        "_all", placed.agg(F.sum("_n")).scalar())
+    return summed.agg(F.array(*[
+        F.min(F.when(F.col("_up_to") >= F.ceil(F.col("_all") * share), F.col("_value"))) for share in shares]).alias("quantiles"))
+
+
 def popularity_order(ratings: DataFrame, item: str = "movieId") -> DataFrame:
     """(item, score, position): items by number of ratings, ties by id."""
     counts = ratings.groupBy(item).agg(F.count(F.lit(1)).alias("score"))

@@ -41,7 +41,7 @@ def clean_ratings(df: DataFrame, low: float = 0.0, high: float = 5.0) -> DataFra
         .withColumn("rating_date", F.timestamp_seconds("timestamp").cast("date"))
         .drop("timestamp")
         .withColumns({c: F.col(c).cast(t) for c, t in
-                      (("userId", "int"), ("movieId", "int"), ("rating", "double"))})
+                      (("userId", "bigint"), ("movieId", "bigint"), ("rating", "double"))})
         .filter(F.col("rating").between(low, high))
     )
 

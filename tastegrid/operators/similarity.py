@@ -16,22 +16,32 @@ def term_vectors(weights: DataFrame, key: str, term: str = "term", value: str =
 
 
 def nearest_texts(
-    weights: DataFrame, key: str, k: int, n_documents: int, term: str = "term", row_bytes: int = ROW_BYTES
+    weights: DataFrame, key: str, k: int, n_documents: int, term: str = "term", row_bytes: int = ROW_BYTES,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """(query_id, rank, item_id, similarity): the ``k`` nearest other documents of every document.
 
-    ``row_bytes`` is the usual size of a document's terms and weights.
+    ``row_bytes`` is the usual size of a document's terms and weights. ``wanted`` (key) limits the documents that
+    are asked about, not those that are found.
     """
     vectors = term_vectors(weights, key, term)
-    return best_matches(vectors, vectors, k, n_queries=n_documents, n_items=n_documents, terms="terms",
+    queries, n_queries = vectors, n_documents
+    if wanted is not None:
+        asked = wanted.select(F.col(key).alias("id")).distinct()
+        queries, n_queries = vectors.join(asked, "id", "left_semi"), asked.count()
+    return best_matches(queries, vectors, k, n_queries=n_queries, n_items=n_documents, terms="terms",
                         skip_same_id=True, row_bytes=row_bytes)
 
 
 def nearest_vectors(
     df: DataFrame, key: str, vector: str, k: int, n_rows: int, digits: int = 6, row_bytes: int = ROW_BYTES
 ) -> DataFrame:
-    """(query_id, rank, item_id, similarity) over dense vectors of one length."""
-    rows = df.select(F.col(key).alias("id"), F.col(vector).alias("weights"))
+    """(query_id, rank, item_id, similarity) over dense vectors of one length.
+
+    A null vector, or one with a null or NaN in it, is absent; vectors of two lengths are an error.
+    """
+    rows = df.select(F.col(key).alias("id"), F.col(vector).alias("weights")).filter(
+        F.col("weights").isNotNull() & ~F.exists("weights", lambda x: x.isNull() | F.isnan(x)))
     return best_matches(rows, rows, k, n_queries=n_rows, n_items=n_rows, digits=digits, skip_same_id=True,
                         row_bytes=row_bytes)
 

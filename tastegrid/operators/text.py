@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, HashingTF, StringIndexer, Tokenizer, VectorAssembler,
+    IDF, HashingTF, StringIndexer, Tokenizer, VectorAssembler,
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,19 +77,6 @@ def content_pipeline(text: str, category: str, features: str = "features", bucke
     ])
 
 
-def keyword_vectors(df: DataFrame, keywords: str, vocabulary: int) -> DataFrame:
-    """0/1 keyword vectors over the ``vocabulary`` most frequent keywords and their TF-IDF weights.
-
-    The model keeps the vocabulary on the driver: size it with a distinct count. The long form
-    (``operators.keywords``) has no such limit.
-    """
-    model = Pipeline(stages=[
-        CountVectorizer(inputCol=keywords, outputCol="keyword_features", binary=True, vocabSize=vocabulary),
-        IDF(inputCol="keyword_features", outputCol="tfidf_features"),
-    ]).fit(df)
-    return model.transform(df)
-
-
 def sparse_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, indices, weights) arrays of an ML vector column, read without leaving the JVM."""
     raw = F.unwrap_udt(vector)

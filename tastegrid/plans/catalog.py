@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastegrid.functions import scrub
 from tastegrid.operators import (
     analytics, credits, evaluate, factorize, joins, keywords, links, movies, ranking, ratings, recommend, similarity,
     text,
@@ -39,13 +40,13 @@ class Domain(MovieTables):
     @cached_property
     def movies(self) -> DataFrame:
         """(movieId, title, vote_count, vote_average, release_year, genre_id, genre_name): first genre only."""
-        return movies.first_genre(self.movies_raw).select(
+        return movies.first_genre(self.movies_rated).select(
             F.col("id").alias("movieId"), "title", "vote_count", "vote_average",
             F.year("release_date").alias("release_year"), "genre_id", "genre_name")
 
     @cached_property
     def movie_genres(self) -> DataFrame:
-        return movies.genre_rows(self.movies_raw).withColumnRenamed("id", "movieId")
+        return movies.genre_rows(self.movie_parts).withColumnRenamed("id", "movieId")
 
     @cached_property
     def labelled_movies(self) -> DataFrame:
@@ -90,7 +91,7 @@ class Domain(MovieTables):
 
     @cached_property
     def movie_text(self) -> DataFrame:
-        named = movies.first_genre(self.movies_raw)
+        named = movies.first_genre(self.movies_described)
         return movies.combined_text(
             named, credits.cast_features(self.cast), keywords.keyword_lists(self.keywords_raw))
 
@@ -103,8 +104,8 @@ class Domain(MovieTables):
     def document_weights(self) -> DataFrame:
         return text.tfidf(self.documents, "doc_id", "text")
 
-    def nearest_documents(self) -> DataFrame:
-        return similarity.nearest_texts(self.document_weights, "doc_id", K, self.documents.count())
+    def nearest_documents(self, wanted: DataFrame | None = None) -> DataFrame:
+        return similarity.nearest_texts(self.document_weights, "doc_id", K, self.documents.count(), wanted=wanted)
 
     @cached_property
     def als_ratings(self) -> DataFrame:
@@ -136,7 +137,7 @@ def profile_nulls(d: Domain) -> DataFrame:
 
 @query
 def clean_numeric(d: Domain) -> DataFrame:
-    return movies.scrub_numbers(d.movies_raw).select("id", "budget", "popularity", "vote_count", "vote_average")
+    return movies.scrub_numbers(d.movies_rated).select("id", "budget", "popularity", "vote_count", "vote_average")
 
 
 @query
@@ -202,27 +203,27 @@ def keyword_lists(d: Domain) -> DataFrame:
 
 @query
 def genre_rows(d: Domain) -> DataFrame:
-    return movies.genre_rows(d.movies_raw)
+    return movies.genre_rows(d.movie_parts)
 
 
 @query
 def company_rows(d: Domain) -> DataFrame:
-    return movies.company_rows(d.movies_raw)
+    return movies.company_rows(d.movie_parts)
 
 
 @query
 def country_rows(d: Domain) -> DataFrame:
-    return movies.country_rows(d.movies_raw)
+    return movies.country_rows(d.movie_parts)
 
 
 @query
 def language_rows(d: Domain) -> DataFrame:
-    return movies.language_rows(d.movies_raw)
+    return movies.language_rows(d.movies_described)
 
 
 @query
 def genre_multihot(d: Domain) -> DataFrame:
-    return movies.genre_columns(d.movies_raw)
+    return movies.genre_columns(d.movie_parts)
 
 
 @query
@@ -233,7 +234,8 @@ def log_features(d: Domain) -> DataFrame:
 
 @query
 def popularity_bins(d: Domain) -> DataFrame:
-    return movies.popularity_tiers(movies.scrub_numbers(d.movies_raw)).select("id", "popularity", "popularity_bin")
+    numbers = d.movie_parts.select("id", scrub.decimal_number("popularity").alias("popularity"))
+    return movies.popularity_tiers(numbers)
 
 
 @query
@@ -243,12 +245,12 @@ def text_lengths(d: Domain) -> DataFrame:
 
 @query
 def release_features(d: Domain) -> DataFrame:
-    return movies.release_features(d.movies_raw).select("id", "release_year", "release_decade")
+    return movies.release_features(d.movies_rated).select("id", "release_year", "release_decade")
 
 
 @query
 def weighted_rating(d: Domain) -> DataFrame:
-    votes = materialize(d.movies_raw.select("id", "vote_count", "vote_average"))  # averaged and weighed
+    votes = materialize(d.movies_rated.select("id", "vote_count", "vote_average"))  # averaged and weighed
     return movies.weighted_ratings(votes).select("id", r6("weighted_rating").alias("weighted_rating"))
 
 
@@ -284,7 +286,7 @@ def director_per_movie(d: Domain) -> DataFrame:
 
 @query
 def movies_enriched(d: Domain) -> DataFrame:
-    base = movies.first_genre(d.movies_raw).select("id", "title", "genre_name")
+    base = movies.first_genre(d.movie_parts).select("id", "title", "genre_name")
     return movies.with_credits(base, credits.cast_features(d.cast), credits.crew_features(d.crew),
                                keywords.keyword_lists(d.keywords_raw))
 
@@ -340,7 +342,7 @@ def decayed_popularity(d: Domain) -> DataFrame:
 
 @query
 def missing_movie_ids(d: Domain) -> DataFrame:
-    described = d.documents.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("int").alias("movieId"))
+    described = d.documents.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("movieId"))
     return joins.unknown_ids(d.ratings, described, "movieId")
 
 
@@ -398,10 +400,7 @@ def hashed_tfidf(d: Domain) -> DataFrame:
 
 @query
 def keyword_vectors(d: Domain) -> DataFrame:
-    lists = keywords.keyword_lists(d.keywords_raw).withColumn("names", F.split("keyword_names", ","))
-    vocabulary = lists.select(F.explode("names").alias("n")).agg(F.count_distinct("n")).first()[0]
-    vectors = text.keyword_vectors(lists, "names", vocabulary)
-    return text.sparse_entries(vectors, "movie_id", "tfidf_features").select(
+    return keywords.keyword_vectors(keywords.keyword_list_rows(d.keywords_raw)).select(
         "movie_id", F.size("terms").alias("n_keywords"),
         r6(F.aggregate("weights", F.lit(0.0), lambda a, w: a + w)).alias("total_weight"))
 
@@ -444,11 +443,11 @@ def knn_assembled(d: Domain) -> DataFrame:
 @query
 def hybrid_scores(d: Domain) -> DataFrame:
     """For every user, the neighbours of the best and then latest rated movie that has an overview."""
-    described = d.documents.select(F.col("doc_id").cast("int").alias("movieId"))
-    seeds = d.stored_ratings.join(described, "movieId", "left_semi").groupBy("userId").agg(
-        F.max_by("movieId", F.struct("rating", *ORDER)).alias("seed_id"))
-    neighbours = d.nearest_documents().select(
-        F.col("query_id").cast("int").alias("seed_id"), F.col("item_id").cast("int").alias("movieId"), "similarity")
+    described = d.documents.select(F.col("doc_id").cast("bigint").alias("movieId"))
+    seeds = materialize(d.stored_ratings.join(described, "movieId", "left_semi").groupBy("userId").agg(
+        F.max_by("movieId", F.struct("rating", *ORDER)).alias("seed_id")))
+    neighbours = d.nearest_documents(seeds.select(F.col("seed_id").alias("doc_id"))).select(
+        F.col("query_id").alias("seed_id"), F.col("item_id").alias("movieId"), "similarity")
     return recommend.content_and_ratings(seeds, neighbours, ratings.mean_centered(d.stored_ratings), K)
 
 

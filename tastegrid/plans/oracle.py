@@ -29,7 +29,7 @@ def literal_list(text: str) -> str:
 CTES: dict[str, str] = {}
 
 CTES["rating_events"] = """
-select cast(o_custkey as int) as "userId", cast(l_partkey as int) as "movieId",
+select cast(o_custkey as bigint) as "userId", cast(l_partkey as bigint) as "movieId",
        cast(ceil(l_quantity / 5.0) as double) / 2 as rating, l_shipdate as ts, l_orderkey as ok, l_linenumber as ln,
        o_orderpriority, l_discount, l_tax
 from lineitem join orders on l_orderkey = o_orderkey"""
@@ -40,7 +40,7 @@ select "userId", "movieId", rating, ts, ok, ln from (
   from rating_events) z where rn = 1"""
 
 CTES["movies_raw"] = f"""
-select cast(p_partkey as int) as id, concat('tt', lpad(cast(p_partkey * 7 + 1 as varchar), 7, '0')) as imdb_id,
+select cast(p_partkey as bigint) as id, concat('tt', lpad(cast(p_partkey * 7 + 1 as varchar), 7, '0')) as imdb_id,
   p_name as title, d.text as overview,
   case when p_size % 2 = 0 then null else p_brand end as tagline,
   case when p_size > 40 then null else 'Released' end as status, d.lang as original_language,
@@ -93,12 +93,12 @@ select m."movieId", title, genre_id, m.genre_name, release_year, genres_indexed
   from movies where genre_name is not null group by 1) i on i.genre_name = m.genre_name"""
 
 CTES["cast_members"] = f"""
-select cast(l_partkey as int) movie_id, {initcap("lower(s_name)")} cast_name, cast(null as varchar) "character",
-  cast(l_suppkey % 3 as int) cast_gender, cast(min(l_orderkey) as int) cast_order
+select cast(l_partkey as bigint) movie_id, {initcap("lower(s_name)")} cast_name, cast(null as varchar) "character",
+  cast(l_suppkey % 3 as int) cast_gender, cast(min(l_orderkey) as bigint) cast_order
 from lineitem join supplier on l_suppkey = s_suppkey group by l_partkey, l_suppkey, s_name"""
 
 CTES["crew_members"] = f"""
-select cast(l_partkey as int) movie_id, {initcap("lower(c_name)")} crew_name,
+select cast(l_partkey as bigint) movie_id, {initcap("lower(c_name)")} crew_name,
   case when o_orderpriority = '1-URGENT' then 'Director' else 'Crew' end job,
   min(c_mktsegment) department, cast(min(c_custkey % 3) as int) crew_gender
 from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey group by 1, 2, 3"""
@@ -115,7 +115,7 @@ from (select movie_id, department, count(*) n, count(*) filter (crew_gender = 1)
       from crew_members group by 1, 2) z group by 1"""
 
 CTES["keyword_texts"] = f"""
-select cast(p_partkey as int) movie_id, p_name, p_brand, {literal_list(
+select cast(p_partkey as bigint) movie_id, p_name, p_brand, {literal_list(
     "concat('[~', replace(p_name, ' ', '~, ~'), '~, ~', p_brand, '~]')")} keywords from part"""
 
 CTES["keyword_set"] = f"""
@@ -126,13 +126,15 @@ CTES["keyword_csv"] = """
 select movie_id, array_to_string(list_sort(list_distinct(string_split(concat(p_name, ' ', p_brand), ' '))), ',') keyword_names
 from keyword_texts"""
 
+CTES["keyword_used"] = "select movie_id, unnest(string_split(keyword_names, ',')) k from keyword_csv"
+
 CTES["links_full"] = """
-select cast(p_partkey as int) "movieId", cast(case when p_partkey % 50 = 0 then 0 else p_partkey * 7 + 1 end as int) "imdbId",
-  case when p_partkey % 11 = 0 then null else cast(p_partkey + 100000 as int) end "tmdbId" from part"""
+select cast(p_partkey as bigint) "movieId", cast(case when p_partkey % 50 = 0 then 0 else p_partkey * 7 + 1 end as bigint) "imdbId",
+  case when p_partkey % 11 = 0 then null else cast(p_partkey + 100000 as bigint) end "tmdbId" from part"""
 
 CTES["links_small"] = """
-select cast(p_partkey as int) "movieId", cast(case when p_partkey % 50 = 0 then 0 else p_partkey * 7 + 1 end as int) "imdbId",
-  case when p_partkey % 4 = 0 then null else cast(p_partkey + 200000 as int) end "tmdbId" from part where p_size > 25"""
+select cast(p_partkey as bigint) "movieId", cast(case when p_partkey % 50 = 0 then 0 else p_partkey * 7 + 1 end as bigint) "imdbId",
+  case when p_partkey % 4 = 0 then null else cast(p_partkey + 200000 as bigint) end "tmdbId" from part where p_size > 25"""
 
 CTES["movie_text"] = """
 select "movieId", m.title, concat_ws(' ', m.genre_name, r.overview, c.lead_actor, replace(k.keyword_names, ',', ' '))
@@ -294,6 +296,10 @@ from movies_raw"""
 BODIES["weighted_rating"] = """
 select id, round(vote_count / (vote_count + m) * vote_average + m / (m + vote_count) * 7.0, 6) weighted_rating
 from movies_raw, (select avg(vote_count) m from movies_raw) a"""
+BODIES["keyword_vectors"] = """
+select movie_id, cast(count(*) as int) n_keywords, round(sum(ln(((select count(*) from keyword_csv) + 1.0) / (df + 1.0))), 6)
+  total_weight
+from keyword_used join (select k, count(*) df from keyword_used group by 1) f using (k) group by 1"""
 BODIES["cast_rows"] = """select movie_id, cast_name, "character", cast_gender, cast_order from cast_members"""
 BODIES["crew_rows"] = "select movie_id, crew_name, job, department, crew_gender from crew_members"
 BODIES["cast_features"] = "select * from cast_summary"
@@ -380,7 +386,7 @@ CTES["v"] = "select vec_id, cast(embedding as double[]) e from embeddings"
 BODIES["hybrid_scores"] = f"""
 select "userId", seed_id, rank, "movieId", score from (
   select *, cast(row_number() over (partition by "userId" order by score desc, "movieId") as int) rank from (
-    select s."userId", seed_id, cast(neighbor_id as int) "movieId",
+    select s."userId", seed_id, cast(neighbor_id as bigint) "movieId",
       round(0.5 * similarity + 0.5 * coalesce(norm, 0), 7) score
     from (select "userId", "movieId" seed_id from (
             select *, row_number() over (partition by "userId" order by rating desc, ts desc, ok desc, ln desc) rn
@@ -446,7 +452,7 @@ from {source}, (select cast(min({column}) as double) low, cast(max({column}) as
 BODIES["genre_diversity_histogram"] = histogram("diversity", "genre_diversity", 10)
 BODIES["recommended_avg_rating"] = 'select "movieId", round(avg_rating, 6) avg_rating from rec_means'
 BODIES["recommended_avg_rating_histogram"] = histogram("rec_means", "avg_rating", 20)
-BODIES["user_item_pivot"] = 'select "userId", cast(floor("movieId" / 50) as int) tile, ' + ", ".join(
+BODIES["user_item_pivot"] = 'select "userId", cast(floor("movieId" / 50) as bigint) tile, ' + ", ".join(
     f'sum(case when "movieId" % 50 = {c} then rating else 0 end) c{c}' for c in range(50)
 ) + ' from (select "userId", "movieId", avg(rating) rating from rating_events group by 1, 2) z group by 1, 2'
 BODIES["item_correlation"] = """

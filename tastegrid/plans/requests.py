@@ -6,7 +6,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +36,7 @@ def hybrid_movies(
 
 
 def als_movies(
-    model: ALSModel, movies: DataFrame, user_id: int, n: int = 10, seen: DataFrame | None = None
+    model: factorize.AlsFit, movies: DataFrame, user_id: int, n: int = 10, seen: DataFrame | None = None
 ) -> DataFrame:
     """The user's list with metadata; missing metadata gets its defaults."""
     user = model.userFactors.filter(F.col("id") == user_id).select(F.col("id").alias("userId"))
@@ -52,14 +51,14 @@ def svd_movies(svd: factorize.Svd, ratings: DataFrame, user_id: int, n: int = 10
 
 
 def hybrid_lists(
-    model: ALSModel, movies: DataFrame, user_id: int, movie_id: int, n: int = 10
+    model: factorize.AlsFit, movies: DataFrame, user_id: int, movie_id: int, n: int = 10
 ) -> tuple[DataFrame, DataFrame]:
     """The user's collaborative list and the movie's same-genre list."""
     return als_movies(model, movies, user_id, n), recommend.same_genre_as(movies, movie_id, n)
 
 
 def advanced_movies(
-    model: ALSModel, movies: DataFrame, ratings: DataFrame, user_id: int, as_of: int,
+    model: factorize.AlsFit, movies: DataFrame, ratings: DataFrame, user_id: int, as_of: int,
     genre: str | None = None, min_votes: int | None = None, n: int = 10,
 ) -> DataFrame:
     """The user's list with metadata and time-decayed popularity, optionally of one genre or popularity."""

@@ -37,8 +37,8 @@ class MovieTables:
             "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate", "l_discount", "l_tax")
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").cast("int").alias("userId"),
-            F.col("l_partkey").cast("int").alias("movieId"),
+            F.col("o_custkey").cast("bigint").alias("userId"),
+            F.col("l_partkey").cast("bigint").alias("movieId"),
             (F.ceil(F.col("l_quantity") / 5.0).cast("double") / 2).alias("rating"),
             F.col("l_shipdate").cast("timestamp").alias("ts"),
             F.col("l_orderkey").alias("ok"),
@@ -91,53 +91,66 @@ class MovieTables:
         return self.table("documents").select("doc_id", "text")
 
     @cached_property
-    def movies_raw(self) -> DataFrame:
-        part = self.table("part")
-        votes = self.known_ratings.groupBy("movieId").agg(
+    def movie_parts(self) -> DataFrame:
+        """What the part table alone tells about a movie: titles, flags, text numbers, nested lists."""
+        key, size = F.col("p_partkey"), F.col("p_size")
+        size_text = size.cast("string")
+        return self.table("part").select(
+            key.cast("bigint").alias("id"),
+            F.format_string("tt%07d", key * 7 + 1).alias("imdb_id"),
+            F.col("p_name").alias("title"),
+            F.when(size % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("tagline"),
+            F.when(size > 40, F.lit(None).cast("string")).otherwise("Released").alias("status"),
+            F.when(key % 5 == 0, "True").when(key % 5 == 1, F.lit(None).cast("string"))
+            .otherwise("False").alias("adult"),
+            F.when(F.col("p_type") == "PROMO", "True").when(F.col("p_type") == "SMALL", F.lit(None).cast("string"))
+            .otherwise("False").alias("video"),
+            F.concat(F.lit("$"), F.round(F.col("p_retailprice") * 100).cast("bigint").cast("string")).alias("budget"),
+            F.when(size < 5, F.lit(None).cast("double")).otherwise((size * 3).cast("double")).alias("runtime"),
+            F.when(key % 13 == 0, "").otherwise(F.concat(F.lit("pop "), size_text, F.lit(".5"))).alias("popularity"),
+            F.when(key % 7 == 0, "[]").otherwise(_quoted(F.concat(
+                F.lit("[{~id~: "), size_text, F.lit(", ~name~: ~"), F.col("p_type"),
+                F.lit("~}, {~id~: 100, ~name~: ~"), F.col("p_brand"), F.lit("~}]")))).alias("genres"),
+            _quoted(F.concat(
+                F.lit("[{~name~: ~"), F.col("p_brand"), F.lit("~, ~id~: "), size_text, F.lit("}]")))
+            .alias("production_companies"),
+            _quoted(F.concat(
+                F.lit("[{~iso_3166_1~: ~"), F.substring("p_type", 1, 2), F.lit("~, ~name~: None}]")))
+            .alias("production_countries"),
+        )
+
+    def _with_votes(self, movies: DataFrame) -> DataFrame:
+        votes = self.known_ratings.groupBy(F.col("movieId").alias("id")).agg(
             F.min("ts").cast("date").alias("release_date"),
             F.count(F.lit(1)).alias("vote_count"),
             F.round(F.avg("rating") * 2, 4).alias("vote_average"),
             F.round(F.sum("rating"), 2).alias("revenue"),
         )
-        docs = self.table("documents").select("doc_id", F.col("text").alias("overview"), "lang")
-        key, size = F.col("p_partkey"), F.col("p_size")
-        size_text = size.cast("string")
-        return (
-            part.join(votes, key == F.col("movieId"), "left").join(docs, key == F.col("doc_id"), "left").select(
-                key.cast("int").alias("id"),
-                F.format_string("tt%07d", key * 7 + 1).alias("imdb_id"),
-                F.col("p_name").alias("title"),
-                "overview",
-                F.when(size % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("tagline"),
-                F.when(size > 40, F.lit(None).cast("string")).otherwise("Released").alias("status"),
-                F.col("lang").alias("original_language"),
-                F.when(key % 5 == 0, "True").when(key % 5 == 1, F.lit(None).cast("string"))
-                .otherwise("False").alias("adult"),
-                F.when(F.col("p_type") == "PROMO", "True").when(F.col("p_type") == "SMALL", F.lit(None).cast("string"))
-                .otherwise("False").alias("video"),
-                F.concat(F.lit("$"), F.round(F.col("p_retailprice") * 100).cast("bigint").cast("string"))
-                .alias("budget"),
-                "revenue",
-                F.when(size < 5, F.lit(None).cast("double")).otherwise((size * 3).cast("double")).alias("runtime"),
-                F.when(key % 13 == 0, "").otherwise(F.concat(F.lit("pop "), size_text, F.lit(".5")))
-                .alias("popularity"),
-                F.coalesce(F.col("vote_count"), F.lit(0).cast("bigint")).alias("vote_count"),
-                F.coalesce(F.col("vote_average"), F.lit(0.0)).alias("vote_average"),
-                "release_date",
-                F.when(key % 7 == 0, "[]").otherwise(_quoted(F.concat(
-                    F.lit("[{~id~: "), size_text, F.lit(", ~name~: ~"), F.col("p_type"),
-                    F.lit("~}, {~id~: 100, ~name~: ~"), F.col("p_brand"), F.lit("~}]")))).alias("genres"),
-                _quoted(F.concat(
-                    F.lit("[{~name~: ~"), F.col("p_brand"), F.lit("~, ~id~: "), size_text, F.lit("}]")))
-                .alias("production_companies"),
-                _quoted(F.concat(
-                    F.lit("[{~iso_3166_1~: ~"), F.substring("p_type", 1, 2), F.lit("~, ~name~: None}]")))
-                .alias("production_countries"),
-                F.when(F.col("lang").isNull(), "[]").otherwise(_quoted(F.concat(
-                    F.lit("[{~iso_639_1~: ~"), F.col("lang"), F.lit("~, ~name~: ~"), F.upper("lang"), F.lit("~}]"))))
-                .alias("spoken_languages"),
-            )
-        )
+        return movies.join(votes, "id", "left").fillna({"vote_count": 0, "vote_average": 0.0})
+
+    def _with_text(self, movies: DataFrame) -> DataFrame:
+        docs = self.table("documents").select(
+            F.col("doc_id").alias("id"), F.col("text").alias("overview"), F.col("lang").alias("original_language"))
+        language = F.col("original_language")
+        return movies.join(docs, "id", "left").withColumn(
+            "spoken_languages",
+            F.when(language.isNull(), "[]").otherwise(_quoted(F.concat(
+                F.lit("[{~iso_639_1~: ~"), language, F.lit("~, ~name~: ~"), F.upper(language), F.lit("~}]")))))
+
+    @cached_property
+    def movies_rated(self) -> DataFrame:
+        """The parts with votes, revenue and release date out of the ratings."""
+        return self._with_votes(self.movie_parts)
+
+    @cached_property
+    def movies_described(self) -> DataFrame:
+        """The parts with overview and languages out of the documents."""
+        return self._with_text(self.movie_parts)
+
+    @cached_property
+    def movies_raw(self) -> DataFrame:
+        """The whole metadata table."""
+        return self._with_text(self.movies_rated)
 
     @cached_property
     def cast_credits(self) -> DataFrame:
@@ -147,7 +160,7 @@ class MovieTables:
             .join(self.table("supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
         )
         return members.select(
-            F.col("l_partkey").cast("int").alias("id"),
+            F.col("l_partkey").cast("bigint").alias("id"),
             _quoted(F.concat(
                 F.lit("[{~cast_id~: "), F.col("l_suppkey").cast("string"), F.lit(", ~character~: None, ~gender~: "),
                 (F.col("l_suppkey") % 3).cast("string"), F.lit(", ~name~: ~"), F.lower("s_name"),
@@ -164,7 +177,7 @@ class MovieTables:
             lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(people, F.col("o_custkey") == F.col("c_custkey"))
             .select(
-                F.col("l_partkey").cast("int").alias("id"),
+                F.col("l_partkey").cast("bigint").alias("id"),
                 _quoted(F.concat(
                     F.lit("[{~department~: ~"), F.col("c_mktsegment"), F.lit("~, ~gender~: "),
                     (F.col("c_custkey") % 3).cast("string"), F.lit(", ~job~: ~"),
@@ -176,7 +189,7 @@ class MovieTables:
     @cached_property
     def keywords_raw(self) -> DataFrame:
         return self.table("part").select(
-            F.col("p_partkey").cast("int").alias("id"),
+            F.col("p_partkey").cast("bigint").alias("id"),
             _quoted(F.concat(
                 F.lit("[~"), F.replace(F.col("p_name"), F.lit(" "), F.lit("~, ~")), F.lit("~, ~"),
                 F.col("p_brand"), F.lit("~]"))).alias("keywords"),
@@ -186,8 +199,8 @@ class MovieTables:
     def links_full(self) -> DataFrame:
         key = F.col("p_partkey")
         return self.table("part").select(
-            key.cast("int").alias("movieId"),
-            F.when(key % 50 == 0, 0).otherwise(key * 7 + 1).cast("int").alias("imdbId"),
+            key.cast("bigint").alias("movieId"),
+            F.when(key % 50 == 0, 0).otherwise(key * 7 + 1).cast("bigint").alias("imdbId"),
             F.when(key % 11 == 0, F.lit(None).cast("double")).otherwise((key + 100000).cast("double")).alias("tmdbId"),
         )
 
@@ -196,8 +209,8 @@ class MovieTables:
         """The second, smaller links file: large parts, with other ids so that precedence shows."""
         key = F.col("p_partkey")
         return self.table("part").filter(F.col("p_size") > 25).select(
-            key.cast("int").alias("movieId"),
-            F.when(key % 50 == 0, 0).otherwise(key * 7 + 1).cast("int").alias("imdbId"),
+            key.cast("bigint").alias("movieId"),
+            F.when(key % 50 == 0, 0).otherwise(key * 7 + 1).cast("bigint").alias("imdbId"),
             F.when(key % 4 == 0, F.lit(None).cast("double")).otherwise((key + 200000).cast("double")).alias("tmdbId"),
         )
 

@@ -30,6 +30,23 @@ def test_correlation_matches_pandas(ratings):
             assert r.n_common == int(((wide[r.movie_a] > 0) & (wide[r.movie_b] > 0)).sum())
 
 
+def test_correlation_over_several_tiles(ratings, monkeypatch):
+    items = ratings.select("movieId").distinct()
+    plain = {(r.movie_a, r.movie_b): (r.n_common, r.correlation) for r in analytics.item_correlation(ratings, items).collect()}
+    monkeypatch.setattr(analytics, "TILE", 13)
+    monkeypatch.setattr(analytics, "USERS", 7)
+    tiled = {(r.movie_a, r.movie_b): (r.n_common, r.correlation) for r in analytics.item_correlation(ratings, items).collect()}
+    assert len(plain) == 60 * 59 // 2 and set(plain) == set(tiled)
+    for pair, (n, value) in plain.items():
+        assert tiled[pair][0] == n
+        assert tiled[pair][1] == (None if value is None else pytest.approx(value, abs=1e-9))
+
+
+def test_histogram_counts_before_it_bins(spark):
+    df = spark.createDataFrame([(float(v),) for v in (1, 1, 2, 3, 5, 5, 5)] + [(None,)], "v double")
+    assert rows(analytics.histogram(df, "v", 4)) == [(1, 2), (2, 1), (3, 1), (4, 3)]
+
+
 def test_tiles_are_the_pivot(ratings):
     wide = ratings.toPandas().pivot(index="userId", columns="movieId", values="rating").fillna(0)
     cells = {}

@@ -1,8 +1,10 @@
+import math
+
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tastegrid.functions import scores, scrub
-from tastegrid.operators import credits, joins, keywords, links, movies, ratings
+from tastegrid.operators import credits, joins, keywords, links, movies, ranking, ratings
 
 
 def test_number_scrubbing(spark):
@@ -108,3 +110,41 @@ def test_derived_scores(spark):
 def test_unknown_ids(spark):
     facts = spark.createDataFrame([(1,), (1,), (2,), (3,)], "k int")
     assert rows(joins.unknown_ids(facts, spark.createDataFrame([(2,)], "k int"), "k")) == [(1,), (3,)]
+
+
+def test_literal_words_inside_names_stay(spark):
+    df = spark.createDataFrame([
+        (1, "[{'id': 1, 'name': 'Best of: None, Some'}, {'id': None, 'name': None}]"),
+        (2, '[{\'id\': 2, \'name\': "It\'s: True"}]'),
+        (3, "[{'id': 3, 'name': 'a \\' False'}]"),
+        (4, "[{'id': 4, 'name': 'open"),
+        (5, "[" + ", ".join(["{'id': None, 'name': 'True'}"] * 20000) + "]")], "id int, genres string")
+    got = movies.genre_rows(df)
+    assert {(r.id, r.genre_id, r.genre_name) for r in got.filter("id < 5").collect()} == {
+        (1, 1, "Best of: None, Some"), (1, None, None), (2, 2, "It's: True"), (3, 3, "a ' False")}
+    assert got.filter("id = 5 and genre_id is null and genre_name = 'True'").count() == 20000
+    assert [r.id for r in movies.unparsed_lists(df, "genres", scrub.GENRE_TYPE).collect()] == [4]
+
+
+def test_credit_order_beyond_int(spark):
+    df = spark.createDataFrame([
+        (1, "[{'cast_id': 5000000000, 'name': 'a', 'order': 4000000000}, {'name': 'b', 'order': 3000000000}]")],
+        "id bigint, cast string")
+    assert credits.cast_features(credits.cast_rows(df)).first().lead_actor == "B"
+
+
+def test_many_genres(spark):
+    names = [f"g{i:04d}" for i in range(1200)]
+    df = spark.createDataFrame([(1, str([{"id": i, "name": n} for i, n in enumerate(names)])), (2, "[]")], "id int, genres string")
+    wide = movies.genre_columns(df)
+    assert wide.columns == ["id", *names]
+    assert {r.id: sum(r[1:]) for r in wide.collect()} == {1: 1200, 2: 0}
+
+
+def test_quantiles_are_exact(spark):
+    values = [None] * 5 + [i * i % 977 for i in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    known = sorted(v for v in values if v is not None)
+    got = ranking.quantiles(df, "v", [0.33, 0.66, 1.0]).first()[0]
+    assert got == [known[math.ceil(3000 * p) - 1] for p in (0.33, 0.66, 1.0)]
+    assert ranking.quantiles(df.filter("v < 0"), "v", [0.5]).first()[0] == [None]

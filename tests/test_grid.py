@@ -117,3 +117,22 @@ def test_hashed_weights_agree_with_the_long_form(spark):
     ours = sorted((r.id, round(w, 9)) for r in hashed.collect() for w in r.weights)
     exact = sorted((r.id, round(r.tfidf, 9)) for r in text.tfidf(docs, "id", "text").collect())
     assert ours == exact
+
+
+def test_absent_and_unequal_vectors(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, None), (4, [nan, 1.0]), (5, [None, 1.0])], "id int, v array<double>")
+    got = result(similarity.nearest_vectors(df, "id", "v", 3, 5))
+    assert got == [(1, 1, 2, 0.707107), (2, 1, 1, 0.707107)]
+    short = df.filter("id < 3").union(spark.createDataFrame([(6, [1.0])], df.schema))
+    with pytest.raises(Exception, match="vectors of lengths"):
+        similarity.nearest_vectors(short, "id", "v", 3, 3).collect()
+
+
+def test_wanted_documents_have_the_same_lists(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"t{i * j % 7}" for j in range(1, 5))) for i in range(12)], "id int, text string")
+    weights = text.tfidf(docs, "id", "text")
+    every = result(similarity.nearest_texts(weights, "id", 3, 12))
+    some = result(similarity.nearest_texts(weights, "id", 3, 12, wanted=docs.filter("id % 4 = 1").select("id")))
+    assert some == [r for r in every if r[0] % 4 == 1] and some

@@ -80,3 +80,9 @@ def test_deduplication_combines_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, 1, 2.0, 3)], "userId int, movieId int, rating double, ts bigint")
     text = plan(ratings.latest_per_key(df, ["userId", "movieId"], ["ts"], ["rating"]))
     assert "partial_max" in text and "Window" not in text
+
+
+@pytest.mark.parametrize("name", ["genre_rows", "company_rows", "country_rows", "language_rows"])
+def test_nested_lists_do_not_read_ratings(spark, sf_dir, name):
+    text = plan(catalog.registered()[name](spark, sf_dir))
+    assert "part.parquet" in text and "lineitem.parquet" not in text and "orders.parquet" not in text
