@@ -21,18 +21,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier one has; ``n_chars`` follows the text."""
-    out = lines.dedup_lines(docs).drop("n_lines", "lines_removed")
+    """Every document without the lines that an earlier one has; ``n_chars`` follows the text.
+
+    A document that loses every line with words, such as a later exact copy, is dropped: nothing of its own is left.
+    """
+    emptied = (F.col("lines_removed") > 0) & (F.trim("text", F.lit(" \t\r\v\f\n")) == "")
+    out = lines.dedup_lines(docs).filter(~emptied).drop("n_lines", "lines_removed")
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate class; a document whose text is empty stays."""
-    words = docs.filter(F.coalesce(F.col("text"), F.lit("")) != "")
-    first = minhash.near_classes(words).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
+    """The document of smallest id of each near-duplicate class; empty texts are a class like any other."""
+    first = minhash.near_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
         F.col("doc_id").alias("_first"))
-    kept = docs.filter(F.coalesce(F.col("text"), F.lit("")) == "")
-    return words.join(first, words.doc_id.eqNullSafe(F.col("_first")), "left_semi").unionByName(kept)
+    return docs.join(first, docs.doc_id.eqNullSafe(F.col("_first")), "left_semi")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
