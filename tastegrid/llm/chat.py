@@ -2,7 +2,8 @@
 
 A template is a function from a list of (role, text) to one string. The turns of a conversation are
 rendered as growing prefixes; where one output continues the one before, the rest is the span of the
-new turn. A template that changes what it wrote before is detected, turn by turn.
+new turn. A template that changes what it wrote before is detected, turn by turn. Prefixes are whole, so a
+conversation is held and rendered again for each turn; only a template that is declared ``local`` gets its latest turns alone.
 
 ``render`` is the default template. It marks turns and escapes, reversibly, what could be read as a mark.
 
@@ -23,7 +24,7 @@ Turns = Sequence[tuple[str, str]]
 
 # Fixed values of the default template. A mark begins with "<|"; texts never hold an unescaped "<".
 OPEN, MIDDLE, CLOSE = "<|turn|>", "<|text|>", "<|end|>\n"
-WINDOW = 64  # earlier turns that are rendered before a turn
+WINDOW = 64  # earlier turns that are rendered before a turn, for local templates
 
 
 def escape(text: str) -> str:
@@ -37,6 +38,13 @@ def unescape(text: str) -> str:
     return "\\".join(out)
 
 
+def local(template: Callable[[Turns], str]) -> Callable[[Turns], str]:
+    """Declares that a template writes its turns one after the other, each as if it stood alone."""
+    template.local = True
+    return template
+
+
+@local
 def render(turns: Turns) -> str:
     """The default template; an assistant text's place is what follows the middle mark."""
     return "".join(f"{OPEN}{escape(role)}{MIDDLE}{escape(text)}{CLOSE}" for role, text in turns)
@@ -54,21 +62,26 @@ def read_turn(span: str) -> tuple[str, str, int, int]:
 class Incremental:
     """Feeds turns one by one to a black-box template and reports each turn's span.
 
-    At most ``window`` turns are rendered at a time: up to that length the prefix is the whole conversation,
-    after it the template sees the latest turns only, so that a conversation of any length takes
-    bounded memory and time in proportion to its turns.
+    Every prefix is the whole conversation so far, which takes memory in proportion to it and time to its square.
+    Of a template that is declared ``local``, at most ``window`` turns are rendered at a time, so that a conversation of
+    any length takes bounded memory and time in proportion to its turns; a declaration that does not
+    hold where turns are dropped is an error. Other templates have no window.
     """
 
     def __init__(self, template: Callable[[Turns], str], window: int = WINDOW):
-        self.template, self.window = template, window
+        self.template = template
+        self.window = window if getattr(template, "local", False) else None
         self.turns: list[tuple[str, str]] = []
         self.output = ""
 
     def add(self, role: str, text: str) -> tuple[str, bool]:
         """(rendered span, whether the template rewrote earlier output)."""
-        if len(self.turns) >= self.window:
+        if self.window is not None and len(self.turns) >= self.window:
             self.turns = self.turns[len(self.turns) // 2:]
-            self.output = self.template(self.turns)
+            output, before = self.template(self.turns), self.output
+            if not before.endswith(output):
+                raise ValueError("the template is declared local, but renders late turns otherwise without the early ones")
+            self.output = output
         self.turns.append((role, text))
         output, before = self.template(self.turns), self.output
         self.output = output
@@ -93,8 +106,8 @@ def format_turns(conversations: DataFrame, template: Callable[[Turns], str] = re
     """(conv, n, start, rendered, rewrote) per turn: its number from 0, where its span begins, and the span.
 
     For a template that rewrites history (``rewrote``) the span is what follows the part that stayed.
-    A conversation stays in one task, since a prefix is needed for each of its turns, but streams
-    through it: only the latest turns are held.
+    A conversation stays in one task, since a prefix is needed for each of its turns. With a ``local`` template it
+    streams through it and only the latest turns are held, ``window`` at most; with any other all its turns are.
     """
     def run(batches):
         state, key, n, start = None, object(), 0, 0

@@ -237,6 +237,42 @@ def test_chat(spark):
     assert all(r.rewrote == (r.n > 0) for r in rewriting if r.conv_id == 1)
 
 
+def history_templates():
+    def fold_system(turns):
+        """Numbers turns, needs a user's turn first and folds the system turn into it."""
+        folded = turns[0][1] + "/" if turns[0][0] == "system" else ""
+        rest = turns[1:] if folded else turns
+        if rest and rest[0][0] != "user":
+            raise ValueError("the first turn is a user's")
+        return "".join(f"{i}:{role}:{'' if i else folded}{text};" for i, (role, text) in enumerate(rest))
+
+    def rewrite_first(turns):
+        """Writes into the first turn how many tens of turns there are."""
+        return f"<{len(turns) // 10}>" + "".join(f"{role}:{text};" for role, text in turns)
+
+    return [fold_system, rewrite_first]
+
+
+@pytest.mark.parametrize("template", history_templates())
+def test_chat_prefixes_are_whole(spark, template):
+    turns = [("system", "rules")] + [("assistant" if i % 2 else "user", f"t{i}") for i in range(201)]
+    table = spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)], "conv_id bigint, turn bigint, role string, text string")
+    before, start = "", 0
+    for r in sorted(chat.format_turns(table, template).collect(), key=lambda r: r.n):
+        output = template(turns[:r.n + 1])
+        same = next((i for i, (a, b) in enumerate(zip(before, output)) if a != b), min(len(before), len(output)))
+        assert (r.start, r.rendered, r.rewrote) == (start, output[same:], same < len(before))
+        before, start = output, start + len(output) - same
+    assert r.n == 201
+
+
+def test_false_local_template_is_an_error():
+    state = chat.Incremental(chat.local(lambda turns: "".join(f"{i}:{t};" for i, (_, t) in enumerate(turns))), window=8)
+    with pytest.raises(ValueError, match="local"):
+        for i in range(20):
+            state.add("user", str(i))
+
+
 # --- language model -------------------------------------------------------------------------------------
 
 def test_language_model(frame):
