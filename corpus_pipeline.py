@@ -31,10 +31,22 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each near-duplicate class; empty texts are a class like any other."""
-    first = minhash.near_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("doc_id").alias("_first"))
-    return docs.join(first, docs.doc_id.eqNullSafe(F.col("_first")), "left_semi")
+    """One row of each class of near-duplicate texts; empty texts are a class like any other.
+
+    Classes are made of texts (64 bits of hash), not of ids, which may be repeated or null. The row of smallest id stays, null
+    first, then of smallest text hash, then of smallest hash of the other columns; rows equal in all of that are one.
+    """
+    keys = ["_id", "_text", "_row"]
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    keyed = docs.withColumns({
+        "_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(minhash.LOWEST)),
+        "_text": F.greatest(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(minhash.LOWEST + 1)),  # LOWEST is a null id
+        "_row": F.xxhash64(*others, *(F.col(c).isNull() for c in docs.columns))})
+    classes = minhash.near_classes(keyed.select("_text", "text"), "_text")
+    least = keyed.groupBy("_text").agg(F.min(F.struct("_id", "_row")).alias("_least"))
+    first = least.join(classes, "_text").groupBy("class_id").agg(
+        F.min(F.struct("_least._id", "_text", "_least._row")).alias("_first")).select("_first.*")
+    return keyed.join(first, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

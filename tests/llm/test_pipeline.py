@@ -49,3 +49,17 @@ def test_run_returns_no_later_copy(spark, copies, tmp_path):
     found = [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
     assert len(found) == len(set(found)) and set(found) <= {min(own) for own in groups.values()}
     assert len(found) > len(groups) // 3
+
+
+def test_repeated_and_null_ids_are_classed_by_text(spark):
+    def near(text):
+        return text + " end"
+
+    a, b, c, d, e, f = (sentence(60) for _ in range(6))
+    rows = [(3, a), (7, near(a)), (7, b), (9, near(b)), (None, c), (None, c), (12, near(c)), (None, d), (5, e), (5, e), (5, f),
+            (None, ""), (None, None), (1, "")]
+    out = corpus_pipeline.dedup_documents(spark, documents(spark, rows + [(4, None)]), "").collect()
+    left = sorted(((r.doc_id, r.text or "") for r in out), key=repr)
+    assert left == sorted([(3, a), (7, b), (None, c), (None, d), (5, e), (5, f), (None, "")], key=repr)
+    hot = documents(spark, [(None, c)] * 500 + [(7, t) for t in (d, e, f)] * 3)
+    assert sorted(r.text for r in corpus_pipeline.dedup_documents(spark, hot, "").collect()) == sorted([c, d, e, f])
