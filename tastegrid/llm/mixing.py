@@ -16,6 +16,7 @@ An empty table gives an empty result. Other columns are kept.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,7 +60,9 @@ def budgets(leaves: DataFrame, levels: Sequence[str], weights: Sequence[Column],
     ``weights`` gives, per level, a node's weight among its siblings from the level columns down to it.
     ``budget`` is an aggregate over the leaves, such as a literal or a share of all supply.
     """
-    rows = leaves.withColumn("capacity", F.col("supply") * epochs)
+    # A leaf below a node that takes nothing holds nothing for the nodes above, so that their siblings get its part.
+    usable = reduce(lambda a, b: a & b, (w.cast("double") > 0 for w in weights))
+    rows = leaves.withColumn("capacity", F.when(usable, F.col("supply") * epochs).otherwise(0))
     tables = [rows.groupBy(*levels[:d]).agg(F.sum("capacity").alias("capacity")) for d in range(1, len(levels) + 1)]
     root = rows.agg(F.least(F.sum("capacity").cast("double"), budget.cast("double")).alias("allotted"))
     above, parent = root, []

@@ -308,3 +308,16 @@ def test_mixing(spark):
     assert wanted - 15 <= total["a"] <= wanted and sum(total.values()) <= 300
     assert sum(total.values()) >= 300 - 6 * 5
     assert mixing.mix(docs.limit(0), levels, weights, F.lit(300), epochs=2).count() == 0
+
+
+@pytest.mark.parametrize("nothing", [0.0, -1.0, None])
+def test_mixing_passes_on_what_a_weightless_leaf_holds(spark, nothing):
+    rows = [(i, "w", "ab"[i % 2], f"s{i // 2 % 2}") for i in range(400)]  # 100 tokens in each of four leaves
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    leaf = F.when((F.col("lang") == "a") & (F.col("source") == "s0"), F.lit(nothing).cast("double")).otherwise(1.0)
+    out = mixing.mix(docs, levels, [F.when(F.col("lang") == "a", 9.0).otherwise(1.0), leaf], F.lit(250), epochs=1).collect()
+    taken = Counter((r.lang, r.source) for r in out for _ in range(r.copies))
+    assert taken == {("a", "s1"): 100, ("b", "s0"): 75, ("b", "s1"): 75}
+    over = mixing.mix(docs, levels, [F.lit(1.0), leaf], F.lit(1000), epochs=1).collect()
+    assert sum(r.copies for r in over) == 300
