@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import rows
+from table_rows import rows
 from tastegrid.operators import analytics, recommend
 
 

@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from tastegrid.functions import scores, scrub
 from tastegrid.operators import credits, joins, keywords, links, movies, ranking, ratings
 

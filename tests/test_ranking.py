@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from tastegrid.operators import ranking, text
 
 

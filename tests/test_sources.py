@@ -1,7 +1,7 @@
 import datetime
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from tastegrid.sources import files
 
 
