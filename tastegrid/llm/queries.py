@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.llm import chat, decontaminate, fingerprints, lines, lm, minhash, mixing, relative, suffix, toxicity
+from tastegrid.llm import (
+    chat, clusters, decontaminate, fingerprints, lines, lm, minhash, mixing, relative, resampling, suffix, toxicity,
+)
 from tastegrid.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +102,24 @@ def op10_mix_sources(table):
         "doc_id", "domain", "lang", "source", "n_tokens", "copies")
 
 
+# op12: percent drawn of the documents with enough words.
+DRAWN, LEAST_WORDS, DRAW_SEED = 10, 20, 2024
+
+
+@query
+def op12_resample(table):
+    return resampling.resample(table("documents"), table("benchmark"), DRAWN, DRAW_SEED, least_words=LEAST_WORDS).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+CLUSTERS, ROUNDS, CLUSTER_SEED, DIMS, SCALE = 40, 5, 2, 64, 256
+
+
+@query
+def op13_centroids(table):
+    return clusters.cluster_vectors(table("embeddings"), dims=DIMS, k=CLUSTERS, rounds=ROUNDS, seed=CLUSTER_SEED, scale=SCALE)
+
+
 LINE_SQL = r"""
 with raw as (
   select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents
@@ -167,4 +187,70 @@ select doc_id, domain, lang, source, n_tokens, cast(epochs + case when running <
 from placed where epochs + case when running <= rest then 1 else 0 end > 0
 """
 
-SQL = {"op5_line_dedup": LINE_SQL, "op10_mix_sources": MIX_SQL}
+RESAMPLE_SQL = rf"""
+with crc as (  -- CRC-32 of every byte, from the polynomial
+  select list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+    lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t
+), docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as words from documents
+), wanted as (
+  select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) as w from benchmark
+), found as (select doc_id, unnest(words) as w from docs),
+bytes as (
+  select w, list_transform(range(0, len(hex(w)) // 2), lambda i: cast('0x' || substr(hex(w), 2 * i + 1, 2) as bigint)) as b
+  from (select w from found union select w from wanted)
+), hashed as (
+  select w, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(t[xor(c & 255, x) + 1], c >> 8)), 4294967295) % 10000 as bucket
+  from bytes, crc
+), s as (select bucket, count(*) as s from found join hashed using (w) group by bucket),
+t as (select bucket, count(*) as t from wanted join hashed using (w) group by bucket),
+gains as (
+  select bucket, cast(floor(1000 * ln((coalesce(t, 0) + 1) * ((select coalesce(sum(s), 0) from s) + 10000)::double
+    / ((coalesce(s, 0) + 1) * ((select coalesce(sum(t), 0) from t) + 10000)::double))) as bigint) as gain from s full join t using (bucket)
+), weights as (select doc_id, cast(sum(gain) as bigint) as weight from found join hashed using (w) join gains using (bucket) group by doc_id),
+scored as (
+  select doc_id, cast(len(words) as bigint) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+    (cast('0x' || substr(sha256('{DRAW_SEED}:' || doc_id), 1, 8) as bigint) + 0.5::double) / 4294967296))) as bigint) as score
+  from docs left join weights using (doc_id)
+), placed as (
+  select *, row_number() over (partition by n_features >= {LEAST_WORDS} order by score desc, doc_id) as place from scored
+)
+select doc_id, n_features, weight, score, case when n_features >= {LEAST_WORDS}
+  and place <= (select count(*) * {DRAWN} // 100 from scored where n_features >= {LEAST_WORDS}) then place end as rank from placed
+"""
+
+
+def _cluster_sql() -> str:
+    """SQL of op13: one pair of CTEs a round, nearest centroids and their floored means."""
+    def near(turn: int) -> str:
+        return f"""
+a{turn} as materialized (select r, c, d from (
+  select n.r, m.c, d, row_number() over (partition by n.r order by d, m.c) as k from (
+    select n.r, m.c, list_sum(list_transform(list_zip(n.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as d
+    from vecs n, c{turn} m) n join c{turn} m using (c)) where k = 1)"""
+
+    parts = [f"""
+with vecs as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor({SCALE} * x::double) as bigint)) as v
+  from embeddings where len(embedding) = {DIMS} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {DIMS}
+), c0 as materialized (
+  select c, v from (select v, row_number() over (order by sha256('{CLUSTER_SEED}:' || vec_id), v) - 1 as c from vecs) where c < {CLUSTERS}
+)"""]
+    for turn in range(ROUNDS):
+        parts.append(near(turn))
+        parts.append(f"""
+c{turn + 1} as materialized (select c.c, coalesce(m.v, c.v) as v from c{turn} c left join (
+  select c, list(cast((s - ((s % n) + n) % n) // n as bigint) order by place) as v from (
+    select c, place, sum(x) as s, count(*) as n from (
+      select a.c, unnest(n.v) as x, generate_subscripts(n.v, 1) as place from a{turn} a join vecs n using (r)) group by c, place) group by c
+  ) m on c.c = m.c)""")
+    parts.append(near(ROUNDS))
+    return ",".join(parts) + f"""
+select vec_id, cast(a.c as integer) as cluster, cast(d as bigint) as distance, cast(sum(d) over (partition by a.c) as bigint) as cluster_inertia,
+  cast(sum(d) over () as bigint) as inertia, sha256(array_to_string(m.v, ',')) as centroid_sha256
+from a{ROUNDS} a join vecs using (r) join c{ROUNDS} m on a.c = m.c"""
+
+
+SQL = {"op5_line_dedup": LINE_SQL, "op10_mix_sources": MIX_SQL, "op12_resample": RESAMPLE_SQL, "op13_centroids": _cluster_sql()}
