@@ -4,7 +4,8 @@ Components are scaled and floored to integers, so that distances and means are e
 are dealt. A few pivots span a simplex. A vector's distances to them are computed once and stored as its apex: the coordinates at
 which a further vertex with these distances would stand, its height over the simplex last. For two vectors the distance of their
 apexes is a lower bound of theirs, and with one height turned to the other side an upper bound. In every round a centroid whose lower
-bound exceeds the least upper bound cannot be nearest; the rest are compared in integers, ties going to the smaller number.
+bound exceeds the least upper bound, or the distance of the centroid that looks nearest, cannot be nearest itself; the rest are compared in
+integers, ties going to the smaller number.
 
 Tasks add up their rows per centroid, so one row per task, centroid and component is shuffled however the vectors are
 distributed, and a vector that makes up a third of the table is arithmetic only. The driver holds the centroids.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.session import materialize
 
-PIVOTS = 16
+PIVOTS = 32
 LARGEST = 1 << 27
 EXACT = 1 << 18  # components of candidate pairs compared at once
 
@@ -87,7 +88,9 @@ def nearest(vectors: np.ndarray, apexes: np.ndarray, centroids: np.ndarray, simp
     upper = (flat + (apexes[:, -1:] + own[:, -1]) ** 2).min(axis=1)
     # Bounds are doubles: what rounding could move is far below this share of the distances to the first pivot.
     slack = 1e-6 * ((apexes**2).sum(axis=1)[:, None] + (own**2).sum(axis=1)) + 1e-3
-    row, column = np.nonzero(lower <= upper[:, None] + slack)
+    # The centroid that looks nearest is compared first: its distance bounds the others as well.
+    bound = np.minimum(upper, squared(vectors, centroids[lower.argmin(axis=1)]))
+    row, column = np.nonzero(lower <= bound[:, None] + slack)
     distance = np.empty(len(row), np.int64)
     step = max(1, EXACT // max(1, vectors.shape[1]))
     for i in range(0, len(row), step):

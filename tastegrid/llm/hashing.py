@@ -109,14 +109,15 @@ def gram_owner(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return start + np.arange(len(text)), text
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int, lower=lower_latin,
+             separates: np.ndarray = NOT_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, hash, count): the k-word shingles of every text with their counts, sorted by text and hash.
 
-    Words are lower-cased runs of letters and digits. A text of fewer than k words, but at least
-    one, has one shingle of all its words.
+    Words are lower-cased runs of letters and digits, or what ``lower`` and ``separates`` say. A text of fewer than k words,
+    but at least one, has one shingle of all its words.
     """
-    low = lower_latin(data)
-    starts, ends, first = word_spans(low, offsets, NOT_WORD)
+    low = lower(data)
+    starts, ends, first = word_spans(low, offsets, separates)
     words = span_hash(prefix_sums(low), starts, ends)
     at, text = gram_owner(first, k)
     values = grams(words, k)[at]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.llm import (
-    chat, clusters, decontaminate, fingerprints, lines, lm, minhash, mixing, relative, resampling, suffix, toxicity,
+    chat, clusters, decontaminate, fingerprints, lines, lm, minhash, mixing, partenum, relative, resampling, suffix, toxicity,
 )
 from tastegrid.session import configure
 
@@ -102,6 +102,11 @@ def op10_mix_sources(table):
         "doc_id", "domain", "lang", "source", "n_tokens", "copies")
 
 
+@query
+def op11_ngram_join(table):
+    return partenum.jaccard_components(table("documents"))
+
+
 # op12: percent drawn of the documents with enough words.
 DRAWN, LEAST_WORDS, DRAW_SEED = 10, 20, 2024
 
@@ -187,6 +192,26 @@ select doc_id, domain, lang, source, n_tokens, cast(epochs + case when running <
 from placed where epochs + case when running <= rest then 1 else 0 end > 0
 """
 
+JOIN_SQL = rf"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents
+), sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < {partenum.SHINGLE} then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - {partenum.SHINGLE} + 2), lambda i: array_to_string(w[i:i + {partenum.SHINGLE - 1}], ' ')) end) as s from docs
+), sizes as (select doc_id, len(s) as n from sets),
+shingles as (select doc_id, unnest(s) as g from sets),
+links as materialized (
+  select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as k from shingles x join shingles y on x.g = y.g and x.doc_id <> y.doc_id
+    group by x.doc_id, y.doc_id) p join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * k >= {partenum.PERCENT} * (x.n + y.n - k)
+), reached(doc_id, other) as (
+  select doc_id, doc_id from docs union select r.doc_id, l.b from reached r join links l on l.a = r.other
+)
+select doc_id, cast(n as bigint) as n_shingles, least_id as component_id, size as component_size
+from sizes join (select doc_id, min(other) as least_id, count(*) as size from reached group by doc_id) using (doc_id)
+"""
+
 RESAMPLE_SQL = rf"""
 with crc as (  -- CRC-32 of every byte, from the polynomial
   select list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
@@ -253,4 +278,4 @@ select vec_id, cast(a.c as integer) as cluster, cast(d as bigint) as distance, c
 from a{ROUNDS} a join vecs using (r) join c{ROUNDS} m on a.c = m.c"""
 
 
-SQL = {"op5_line_dedup": LINE_SQL, "op10_mix_sources": MIX_SQL, "op12_resample": RESAMPLE_SQL, "op13_centroids": _cluster_sql()}
+SQL = {"op5_line_dedup": LINE_SQL, "op10_mix_sources": MIX_SQL, "op11_ngram_join": JOIN_SQL, "op12_resample": RESAMPLE_SQL, "op13_centroids": _cluster_sql()}
