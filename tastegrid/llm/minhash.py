@@ -3,12 +3,9 @@
 A document is the multiset of its five-word shingles. Every shingle is a Poisson process whose rate is its weight and
 whose points fall on the signature's slots; a slot keeps the shingle of its earliest point, so two signatures
 agree in a slot with the probability Jaccard similarity of the weighted sets. A shingle's points stop as soon as they
-come later than every slot's point. Equal texts are one node. Nodes that share a band are candidates; candidates are
-verified by the weighted Jaccard similarity of their shingles, 0.8 or more; connected nodes are a class.
-
-Within a band's bucket no pairs are formed. Each round compares a bucket's members with one pivot; members that are
-already in the pivot's class need no comparison, so a bucket of thousands of copies is settled by one row
-each. Only members that still lie in different classes after the pivot rounds are compared with each other.
+come later than every slot's point. Equal shingle sets are one node. Nodes that share a band are candidates; candidates are
+verified by the weighted Jaccard similarity of their shingles, 0.8 or more; connected nodes are a class. Within a band's bucket
+no pairs are formed (``setlinks``).
 
 A text without words equals only equal texts. Null texts count as empty. Rows with equal ids are one document that has all of
 their texts; a null id is an id of its own. Other columns are ignored. An empty table gives an empty result.
@@ -21,16 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.llm.hashing import mix, pieces, shingles, text_bytes
-from tastegrid.session import ensure_checkpoint_dir, materialize
+from tastegrid.llm.hashing import mix, shingles
+from tastegrid.llm.setlinks import LOWEST, NODE, Sets, classed, link_classes, make_sets, over_texts
+from tastegrid.operators.joins import salted_join
+from tastegrid.session import materialize
 
 SHINGLE = 5
-SIMILARITY = 0.8
+PERCENT = 80
 BANDS, ROWS = 32, 4   # a pair of similarity 0.8 is missed with probability 5e-8
-PIVOT_ROUNDS = 2
-PIECE = 1 << 21
-SIDE = 1000            # rows on each side of a comparison task
-LOWEST = -(1 << 63)
 
 
 def prob_minhash(text, values, weights, n_texts, slots=BANDS * ROWS):
@@ -72,188 +67,38 @@ def band_keys(signatures, bands=BANDS, rows=ROWS):
     return key.view(np.int64)
 
 
-def weighted_jaccard(a, b, k=SHINGLE):
-    """Similarity of the texts in two (bytes, offsets) pairs, row by row."""
-    n = len(a[1]) - 1
-    parts = [np.stack((t.astype(np.uint64), v, c.astype(np.uint64))) for t, v, c in (shingles(*a, k), shingles(*b, k))]
-    both = np.concatenate(parts, axis=1)
-    total = np.bincount(both[0].astype(np.int64), both[2].astype(np.float64), n)
-    order = np.lexsort((both[1], both[0]))
-    text, value, count = both[:, order]
-    same = np.flatnonzero((text[1:] == text[:-1]) & (value[1:] == value[:-1]))
-    shared = np.bincount(text[same].astype(np.int64), np.minimum(count[same], count[same + 1]).astype(np.float64), n)
-    return np.where(total > 0, shared / np.maximum(total - shared, 1), 0.0)
-
-
-def _signed(docs: DataFrame) -> DataFrame:
-    """(_id, _copy, _bands): a digest of the text and its band keys, empty for a text without words."""
-    table = docs.select("_id", F.md5("_text").alias("_copy"), "_text")
-
-    def run(batches):
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(2))
-            out = []
-            for i, j in pieces(offsets, PIECE):
-                text, values, counts = shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], SHINGLE)
-                keys = band_keys(prob_minhash(text, values, counts.astype(np.float64), j - i))
-                some = np.bincount(text, minlength=j - i) > 0
-                out.extend(k if s else None for k, s in zip(keys, some))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))],
-                                             ["_id", "_copy", "_bands"])
-
-    return table.mapInArrow(run, "_id bigint, _copy string, _bands array<bigint>")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (x, y) pairs whose texts are similar enough; ``texts`` has the ids in pairs."""
-    rows = pairs.join(texts.select(F.col("_id").alias("x"), F.col("_text").alias("_a")), "x").join(
-        texts.select(F.col("_id").alias("y"), F.col("_text").alias("_b")), "y").select("x", "y", "_a", "_b")
-
-    def run(batches):
-        for batch in batches:
-            (da, oa), (db, ob) = text_bytes(batch.column(2)), text_bytes(batch.column(3))
-            good = np.zeros(batch.num_rows, bool)
-            for i, j in pieces(oa + ob, PIECE):
-                good[i:j] = weighted_jaccard((da[oa[i]:oa[j]], oa[i:j + 1] - oa[i]), (db[ob[i]:ob[j]], ob[i:j + 1] - ob[i])) >= threshold
-            keep = pa.array(good)
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["x", "y"])
-
-    return rows.mapInArrow(run, "x bigint, y bigint").distinct()
-
-
-def _rest(placed: DataFrame, texts: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
-    """(x, y) pairs of different classes in one bucket that are similar by their hashed shingles.
+def multiset(data, offsets) -> Sets:
+    """The shingles of every text, each occurrence an element: Jaccard similarity of these sets is the weighted one."""
+    return make_sets(shingles(data, offsets, SHINGLE), len(offsets) - 1, counted=True)
 
-    Members of the buckets that are still open are dealt to sides of about ``SIDE`` rows; a task gets two sides and
-    compares them in blocks: by their short signatures first (a pair of the wanted similarity has fewer than
-    five of eight slots equal with a probability below 1e-6), then by their shingles. A pair is looked
-    at in the first band that both have, and only similar pairs leave the task.
-    """
-    open_ = placed.groupBy("band").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter(
-        "_lo != _hi").select("band", F.ceil(F.col("_n") / SIDE).cast("int").alias("_sides"))
-    mine = F.pmod(F.xxhash64("node", F.lit(3)), F.col("_sides")).cast("int")
-    dealt = placed.join(open_, "band").withColumn("_side", mine).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1))).select(
-        "band", "node", "label", "_side", F.least("_side", "_other").alias("_p"), F.greatest("_side", "_other").alias("_q"))
-
-    def describe(batches):
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            prints, sets = [], []
-            for i, j in pieces(offsets, PIECE):
-                text, values, counts = shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], SHINGLE)
-                prints.extend(r.tobytes() for r in prob_minhash(text, values, counts.astype(np.float64), j - i).astype(np.uint8))
-                # A shingle that occurs n times is n elements; 32 bits of each.
-                nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                element = mix(np.repeat(values, counts) + nth.astype(np.uint64)).astype(np.uint32)
-                owner = np.repeat(text, counts)
-                order = np.lexsort((element, owner))
-                element, bound = element[order], np.searchsorted(owner, np.arange(j - i + 1))
-                sets.extend(element[bound[k]:bound[k + 1]].tobytes() for k in range(j - i))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())],
-                                             ["node", "_print", "_set"])
-
-    open_nodes = dealt.select("node").distinct()
-    described = texts.select("_id", "_text").join(open_nodes.withColumnRenamed("node", "_id"), "_id", "left_semi").mapInArrow(
-        describe, "node bigint, _print binary, _set binary")
-    rows = dealt.join(described, "node").join(copies.select(F.col("_node").alias("node"), "_bands"), "node")
 
-    def compare(table):
-        node, label, side = (table[c].to_numpy() for c in ("node", "label", "_side"))
-        p, q = table["_p"][0].as_py(), table["_q"][0].as_py()
-        band = table["band"][0].as_py()
-        prints = np.frombuffer(b"".join(table["_print"].to_pylist()), np.uint8).reshape(len(node), -1)
-        sets = [np.frombuffer(x, np.uint32) for x in table["_set"].to_pylist()]
-        bands = np.array(table["_bands"].to_pylist(), np.int64)
-        place = (bands == band).argmax(axis=1)[0]  # a band's key tells its place
-        left, right = np.flatnonzero(side == p), np.flatnonzero(side == q)
-        found = [], []
-        for i in left:
-            other = right[(label[right] != label[i]) & (right > i if p == q else True)]
-            other = other[(prints[other] == prints[i]).mean(axis=1) >= threshold - 0.18]
-            other = other[~(bands[other, :place] == bands[i, :place]).any(axis=1)]
-            for j in other:
-                shared = len(np.intersect1d(sets[i], sets[j]))
-                if shared >= (threshold - 0.001) * (len(sets[i]) + len(sets[j]) - shared):
-                    found[0].append(node[i]), found[1].append(node[j])
-        return pa.table({"x": pa.array(found[0], pa.int64()), "y": pa.array(found[1], pa.int64())})
+def _signed(base: DataFrame) -> DataFrame:
+    """(_id, _key, _node, _n, _sketch, _bands) for every row; a text without words has no bands."""
+    def read(data, offsets, batch):
+        found, n = shingles(data, offsets, SHINGLE), len(offsets) - 1
+        sets = make_sets(found, n, counted=True)
+        keys = band_keys(prob_minhash(found[0], found[1], found[2].astype(np.float64), n))
+        # Texts without words are equal only as texts.
+        node = np.where(sets.sizes > 0, sets.nodes(), np.maximum(batch.column(1).to_numpy(), LOWEST + 1))
+        bands = pa.array([k if s else None for k, s in zip(keys, sets.sizes)], pa.list_(pa.int64()))
+        return batch.column(0), batch.column(1), node, sets.sizes, sets.sketches(), bands
 
-    return rows.groupBy("band", "_p", "_q").applyInArrow(compare, "x bigint, y bigint")
+    return over_texts(base.select("_id", F.xxhash64("_text").alias("_key"), "_text"), read,
+                      f"_id bigint, _key bigint, {NODE}, _bands array<bigint>")
 
 
-def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each node's component, by alternating star contractions.
-
-    Each round links every node's larger neighbours to its smallest one, then its smaller neighbours; a
-    component of n nodes is a star after about log n rounds. Each round is written to the shared folder.
-    """
-    def star(table, larger):
-        both = table.select("u", "v").unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else \
-            table.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m"))
-        joined = both.join(low, "u")
-        if larger:
-            return joined.filter("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).filter("u != v").distinct()
-        return joined.select(F.col("v").alias("u"), F.col("_m").alias("v")).unionByName(
-            joined.select("u", F.col("_m").alias("v"))).filter("u != v").distinct()
-
-    links = edges.select(F.col("x").alias("u"), F.col("y").alias("v")).filter("u != v").distinct()
-    before = None
-    while True:
-        links = materialize(star(star(links, True), False))
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == before:
-            break
-        before = state
-    roots = links.groupBy("u").agg(F.min("v").alias("label"))
-    return nodes.join(roots.withColumnRenamed("u", "node"), "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"))
-
-
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, class_id, class_size): every id with the smallest id of its class; a null id counts as smallest."""
-    spark = docs.sparkSession
-    ensure_checkpoint_dir(spark)
     base = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     signed = materialize(_signed(base))
-    copies = signed.groupBy("_copy").agg(F.min("_id").alias("_node"), F.first("_bands").alias("_bands"))
-    # Ids with equal texts, and an id's several texts, are linked without any comparison.
-    links = signed.select("_id", "_copy").join(copies.select("_copy", "_node"), "_copy").filter("_id != _node").select(
-        F.col("_id").alias("x"), F.col("_node").alias("y"))
-    buckets = copies.filter(F.col("_bands").isNotNull()).select(
-        F.col("_node").alias("node"), F.explode("_bands").alias("band")).distinct()
-    shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("band")
-    buckets = materialize(buckets.join(shared, "band", "left_semi"))
-
-    nodes = materialize(buckets.select("node").distinct())
-    # Texts of the candidates, one for every id and text: all documents cross one shuffle, once for all rounds.
-    texts = materialize(base.join(nodes.select(F.col("node").alias("_id")), "_id", "left_semi").dropDuplicates())
-    labels, edges = nodes.withColumn("label", F.col("node")), None
-    for turn in range(PIVOT_ROUNDS + 1):
-        placed = buckets.join(labels, "node")
-        if turn < PIVOT_ROUNDS:
-            # A member of the bucket's open classes, another one each round.
-            pick = F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("_order"), "node", "label")
-            pivots = placed.groupBy("band").agg(F.min(pick).alias("_p"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter(
-                "_lo != _hi").select("band", F.col("_p.node").alias("y"), F.col("_p.label").alias("_other"))
-            pairs = placed.join(pivots, "band").filter("label != _other").select(F.col("node").alias("x"), "y")
-        else:
-            pairs = _rest(placed, texts, copies, threshold)
-        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        pairs = materialize(pairs if edges is None else pairs.join(tried, ["x", "y"], "left_anti"))
-        if pairs.isEmpty():
-            if edges is None:
-                break  # no bucket is open
-            continue   # this round's pivots were all compared before, other members were not
-        tried = pairs if edges is None else tried.unionByName(pairs)
-        found = materialize(_verified(pairs, texts, threshold))
-        edges = found if edges is None else edges.unionByName(found)
-        if turn < PIVOT_ROUNDS:
-            labels = components(edges, nodes)
-    every = links if edges is None else links.unionByName(edges)
-    out = components(every, signed.select(F.col("_id").alias("node")).distinct())
-    sizes = out.groupBy("label").agg(F.count(F.lit(1)).alias("class_size"))
+    buckets = signed.select(F.explode("_bands").alias("bucket"), F.col("_node").alias("node"))
+    # An id's several texts are linked without any comparison.
+    several = signed.groupBy("_id").agg(F.min("_node").alias("y"), F.max("_node").alias("_high")).filter("y != _high").select("_id", "y")
+    links = signed.select("_id", F.col("_node").alias("x")).join(several, "_id").filter("x != y").select("x", "y").distinct()
+    labels = link_classes(signed, buckets, base, multiset, percent, links)
+    ids = classed(signed, labels).groupBy("_id").agg(F.min("class_id").alias("class_id"))
+    sizes = ids.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     null = lambda c: F.when(F.col(c) != LOWEST, F.col(c))
-    return out.join(sizes, "label").select(null("node").alias(id_col), null("label").alias("class_id"), "class_size")
-
+    return salted_join(ids, sizes, ["class_id"], "inner", spread_by=["_id"]).select(
+        null("_id").alias(id_col), null("class_id").alias("class_id"), "class_size")
