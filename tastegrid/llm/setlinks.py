@@ -7,8 +7,10 @@ wanted are the components of the graph of all pairs that share a bucket and have
 2. Pairs are first held against parity sketches: bit i tells whether an odd number of elements falls into cell i. Two sketches
    differ in no more bits than the sets differ in elements, so what this drops cannot be similar.
 3. What is left is verified with the sets themselves, which are made again from the texts of just these nodes.
-4. Buckets whose members now lie in one component are done. The members of the others are dealt to blocks of bounded size; a task
-   compares two blocks by their sketches and passes on only pairs of different components, which step 3 verifies.
+4. Buckets whose members now lie in one component are done. The members of the others are dealt to sides of bounded size. A task
+   holds the sketches of two sides and passes on the pairs of a spanning forest over components, nearest first, for step 3.
+5. In buckets that are still open, members that have an allowed partner in another component are given their sets, and a task
+   verifies all allowed pairs of two sides that it has not connected yet.
 
 Sets are sorted 64-bit hashes of shingles, each occurrence of a repeated one being an element of its own.
 """
@@ -29,6 +31,8 @@ from tastegrid.session import materialize
 
 PIECE = 1 << 21       # bytes of text handled at once
 SIDE = 1000           # nodes on each side of a comparison task
+ELEMENTS = 1 << 20    # and elements
+EDGES = 1 << 21       # contracted by one task
 LOWEST = -(1 << 63)
 NODE = "_node bigint, _n bigint, _sketch binary"
 
@@ -139,17 +143,21 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "x bigint, y bigint")
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, reader: Reader, percent: int) -> DataFrame:
-    """The (x, y) pairs whose sets are similar enough. ``signed`` names one row (_id, _key) of ``docs`` for every node."""
-    wanted = pairs.select(F.col("x").alias("_node")).union(pairs.select(F.col("y").alias("_node"))).distinct()
-    rows = signed.join(wanted, "_node", "left_semi").select("_id", "_key")
+def _bodies(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, reader: Reader) -> DataFrame:
+    """(_node, _body) of the nodes in ``wanted`` (_node), made from one row of ``docs`` each."""
+    rows = nodes.join(wanted.distinct(), "_node", "left_semi").select("_id", "_key")
     texts = docs.withColumn("_key", F.xxhash64("_text")).join(rows, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
 
     def read(data, offsets, batch):
         sets = reader(data, offsets)
         return sets.nodes(), pa.array(sets.bodies(), pa.binary())
 
-    bodies = materialize(over_texts(texts.select("_text"), read, "_node bigint, _body binary"))
+    return materialize(over_texts(texts.select("_text"), read, "_node bigint, _body binary"))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, reader: Reader, percent: int) -> DataFrame:
+    """The (x, y) pairs whose sets are similar enough."""
+    bodies = _bodies(pairs.select(F.col("x").alias("_node")).union(pairs.select(F.col("y").alias("_node"))), nodes, docs, reader)
     side = lambda c: bodies.select(F.col("_node").alias(c), F.col("_body").alias(f"_b{c}"))
     both = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "_bx", "_by")
 
@@ -180,71 +188,140 @@ def _groups(batches, keys: list[str]):
         yield held[0].combine_chunks()
 
 
-def _rest(stars: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(x, y) pairs of different components in one bucket that their sketches allow, other than those with the bucket's smallest node.
+KEYS = ["bucket", "_p", "_q"]
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of one bucket and two of its sides beside each other."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *KEYS).sortWithinPartitions(*KEYS)
 
-    A bucket is compared once however many buckets hold the same members. Its members are dealt to sides of about ``SIDE``; a
-    task gets two sides at a time.
+
+def _open(stars: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members, but the smallest, of the buckets whose members lie in several components, dealt to sides.
+
+    A bucket is taken once however many buckets hold the same members. A side has about ``SIDE`` members and ``ELEMENTS``
+    elements; every two sides of a bucket meet.
     """
-    known = labels.select("node", "label")
-    placed = stars.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mark = F.xxhash64("node").cast("decimal(20,0)")
-    groups = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m"), F.min("label").alias("_lo"), F.max("label").alias("_hi"),
-                                          F.sum(mark).alias("_sum"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(20,0)")).alias("_more"))
-    chosen = groups.filter("_lo != _hi").groupBy("_m", "_sum", "_more").agg(F.min("bucket").alias("bucket")).select(
-        "bucket", F.ceil(F.col("_m") / SIDE).cast("int").alias("_sides"))
-    dealt = placed.join(chosen, "bucket").withColumn("_side", F.pmod(F.xxhash64("node", F.lit(3)), "_sides").cast("int")).withColumn(
+    known = nodes.select(F.col("_node").alias("node"), "_n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = stars.select("bucket", "node").join(known, "node")
+    number = lambda c: c.cast("decimal(20,0)")
+    groups = placed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("_m"), F.sum("_n").alias("_all"), F.min("label").alias("_lo"), F.max("label").alias("_hi"),
+        F.sum(number(F.xxhash64("node"))).alias("_sum"), F.sum(number(F.xxhash64("node", F.lit(1)))).alias("_more"))
+    chosen = groups.filter("_lo != _hi").groupBy("_m", "_sum", "_more").agg(F.min("bucket").alias("bucket"), F.first("_all").alias("_all")).select(
+        "bucket", F.ceil(F.greatest(F.col("_m") / SIDE, F.col("_all") / ELEMENTS)).cast("int").alias("_sides"))
+    sided = placed.join(chosen, "bucket").withColumn("_side", F.pmod(F.xxhash64("node", F.lit(3)), "_sides").cast("int")).withColumn(
         "_other", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1))).select(
         "bucket", F.least("_side", "_other").alias("_p"), F.greatest("_side", "_other").alias("_q"), "_side", F.col("node").alias("_node"), "label")
-    keys = ["bucket", "_p", "_q"]
-    parts = int(stars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = dealt.join(nodes, "_node").select(*keys, "_side", "_node", "label", "_n", "_sketch").repartition(parts, *keys).sortWithinPartitions(*keys)
+    return sided.join(nodes.select("_node", "_n", "_sketch"), "_node").select(*KEYS, "_side", "_node", "label", "_n", "_sketch")
+
+
+def _allowed(group: pa.Table, sizes: np.ndarray, sketches: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, bits of difference) of the group's pairs of different components, one of each side, that their sketches allow."""
+    side, label = group["_side"].to_numpy(), group["label"].to_numpy()
+    p, q = group["_p"][0].as_py(), group["_q"][0].as_py()
+    length = min(map(len, sketches))
+    bits = np.stack([folded(s, length) for s in sketches])
+    right = np.flatnonzero(side == q)
+    first, second, gap = [], [], []
+    for i in np.flatnonzero(side == p):
+        other = right[(label[right] != label[i]) & ((right > i) | (p != q))]
+        other = other[100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i])]
+        apart = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        near = apart <= most_different(sizes[other], sizes[i], percent)
+        first.append(np.full(int(near.sum()), i, np.int32)), second.append(other[near].astype(np.int32)), gap.append(apart[near].astype(np.int32))
+    none = [np.zeros(0, np.int32)]
+    return tuple(np.concatenate(x or none) for x in (first, second, gap))
+
+
+def _forest(opened: DataFrame, percent: int) -> DataFrame:
+    """(x, y): of every group's allowed pairs those of a spanning forest over its components, the nearest ones first.
+
+    That is fewer pairs than members. If such a pair is similar, most of the others are between nodes of one component.
+    """
+    def run(batches):
+        for group in _groups(batches, KEYS):
+            node = group["_node"].to_numpy()
+            i, j, gap = _allowed(group, group["_n"].to_numpy(), group["_sketch"].to_pylist(), percent)
+            at = np.unique(group["label"].to_numpy(), return_inverse=True)[1].astype(np.int64)
+            # A total order of the pairs that is the same in every bucket, so that buckets choose the same ones.
+            rank = np.empty(len(i), np.int64)
+            rank[np.lexsort((np.maximum(node[i], node[j]), np.minimum(node[i], node[j]), gap))] = np.arange(len(i))
+            chosen = np.zeros(len(i), bool)
+            while len(rest := np.flatnonzero(at[i] != at[j])):
+                best = np.full(len(node), len(i), np.int64)
+                np.minimum.at(best, at[i[rest]], rank[rest])
+                np.minimum.at(best, at[j[rest]], rank[rest])
+                taken = rest[(best[at[i[rest]]] == rank[rest]) | (best[at[j[rest]]] == rank[rest])]
+                chosen[taken] = True
+                at = _roots(at[i[taken]], at[j[taken]], len(node))[at]
+            i, j = i[chosen], j[chosen]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j]))], ["x", "y"])
+
+    return _dealt(opened).mapInArrow(run, "x bigint, y bigint").distinct()
+
+
+def _undecided(opened: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``opened`` that still have an allowed partner in their group, without sizes and sketches."""
+    def run(batches):
+        for group in _groups(batches, KEYS):
+            i, j, _ = _allowed(group, group["_n"].to_numpy(), group["_sketch"].to_pylist(), percent)
+            if len(i):
+                yield from group.take(pa.array(np.unique(np.concatenate((i, j))))).select([*KEYS, "_side", "_node", "label"]).to_batches()
+
+    return _dealt(opened).mapInArrow(run, "bucket bigint, _p int, _q int, _side int, _node bigint, label bigint")
 
+
+def _decided(rows: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
+    """(x, y): a forest of the similar pairs of different components within the groups, every allowed pair being looked at."""
     def run(batches):
-        for group in _groups(batches, keys):
-            side, node, label, n = (group[c].to_numpy() for c in ("_side", "_node", "label", "_n"))
-            sketches = group["_sketch"].to_pylist()
-            size = min(map(len, sketches))
-            bits = np.stack([folded(s, size) for s in sketches])
-            p, q = group["_p"][0].as_py(), group["_q"][0].as_py()
-            left, right = np.flatnonzero(side == p), np.flatnonzero(side == q)
+        for group in _groups(batches, KEYS):
+            body = group["_body"].to_pylist()
+            bounds = np.cumsum([0, *(len(b) // 8 for b in body)])
+            sets = Sets(np.repeat(np.arange(len(body)), np.diff(bounds)), np.frombuffer(b"".join(body), np.uint64), bounds)
+            i, j, gap = _allowed(group, sets.sizes, sets.sketches(), percent)
+            node, at = group["_node"].to_numpy(), np.unique(group["label"].to_numpy(), return_inverse=True)[1]
             found = [[], []]
-            for i in left:
-                other = right[(label[right] != label[i]) & ((right > i) | (p != q))]
-                other = other[100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i])]
-                other = other[np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most_different(n[other], n[i], percent)]
-                found[0].append(np.minimum(node[other], node[i]))
-                found[1].append(np.maximum(node[other], node[i]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(f) if f else np.zeros(0, np.int64)) for f in found], ["x", "y"])
+            for k in np.argsort(gap, kind="stable"):
+                a, b = i[k], j[k]
+                if at[a] != at[b] and similar(body[a], body[b], percent):
+                    at[at == at[b]] = at[a]
+                    found[0].append(node[a]), found[1].append(node[b])
+            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["x", "y"])
+
+    return _dealt(rows.join(bodies, "_node")).mapInArrow(run, "x bigint, y bigint")
 
-    return rows.mapInArrow(run, "x bigint, y bigint").distinct()
+
+def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of the nodes 0 to n - 1 that the edges (a, b) connect with each node."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each node's component, for the nodes of the edges (x, y).
 
-    Tasks contract their own edges first. Then stars are contracted alternately: every node's larger neighbours are linked to its
-    smallest one, then its smaller neighbours; about log n rounds make a star of a component of n nodes. Each round is
-    written to the shared folder.
+    Edges are merged into tasks of up to ``EDGES``, and each task contracts its own to stars. Where that is one task, that is all.
+    Else stars are contracted alternately: every node's larger neighbours are linked to its smallest one, then its smaller
+    neighbours, and so on until nothing changes; about log n rounds, each written to the shared folder.
     """
     def contracted(batches):
-        """The edges of a task as stars; at most one edge a node leaves."""
-        for batch in batches:
-            x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            nodes, ends = np.unique(np.concatenate((x, y)), return_inverse=True)
-            a, b = ends[:len(x)], ends[len(x):]
-            root = np.arange(len(nodes))
-            while True:
-                low = np.minimum(root[a], root[b])
-                new = root.copy()
-                np.minimum.at(new, root[a], low)
-                np.minimum.at(new, root[b], low)
-                new = new[new]
-                if (new == root).all():
-                    break
-                root = new
-            moved = root != np.arange(len(nodes))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[root[moved]])], ["u", "v"])
+        ends = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if not ends:
+            return
+        x, y = (np.concatenate(e) for e in zip(*ends))
+        nodes, at = np.unique(np.concatenate((x, y)), return_inverse=True)
+        root = _roots(at[:len(x)], at[len(x):], len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["u", "v"])  # a root has an edge to itself
 
     def star(table, larger):
         both = table.select("u", "v").unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v"))) if larger else \
@@ -252,20 +329,21 @@ def components(edges: DataFrame) -> DataFrame:
         low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m"))
         joined = both.join(low, "u")
         if larger:
-            return joined.filter("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).filter("u != v")
-        return joined.select(F.col("v").alias("u"), F.col("_m").alias("v")).unionByName(
-            low.select("u", F.col("_m").alias("v"))).filter("u != v").distinct()
+            return joined.filter("v >= u").select(F.col("v").alias("u"), F.col("_m").alias("v"))
+        return joined.select(F.col("v").alias("u"), F.col("_m").alias("v")).unionByName(low.select("u", F.col("_m").alias("v"))).distinct()
 
-    links = edges.select("x", "y").mapInArrow(contracted, "u bigint, v bigint")
+    links = materialize(edges.select(F.col("x").alias("u"), F.col("y").alias("v")))
     before = None
     while True:
-        links = materialize(star(star(links, True), False))
+        tasks = -(-links.count() // EDGES)
+        merged = links.coalesce(max(1, tasks)).mapInArrow(contracted, "u bigint, v bigint")
+        if tasks <= 1:
+            return materialize(merged.select(F.col("u").alias("node"), F.col("v").alias("label")))
+        links = materialize(star(star(materialize(merged), True), False))
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
-            break
+            return materialize(links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")))
         before = state
-    roots = links.groupBy("u").agg(F.min("v").alias("label"))
-    return roots.select(F.col("u").alias("node"), "label").union(roots.select("label", "label").distinct())
 
 
 def link_classes(signed: DataFrame, rows: DataFrame, docs: DataFrame, reader: Reader, percent: int, links: DataFrame | None = None) -> DataFrame:
@@ -276,16 +354,20 @@ def link_classes(signed: DataFrame, rows: DataFrame, docs: DataFrame, reader: Re
     """
     nodes = materialize(signed.groupBy("_node").agg(F.min(F.struct("_id", "_key")).alias("_r"), F.first("_n").alias("_n"),
                                                     F.first("_sketch").alias("_sketch")).select("_node", "_r._id", "_r._key", "_n", "_sketch"))
-    sketched = nodes.select("_node", "_n", "_sketch")
     stars = materialize(members(rows))
-    pairs = materialize(_near(stars.select(F.col("lo").alias("x"), F.col("node").alias("y")).distinct(), sketched, percent))
+    pairs = materialize(_near(stars.select(F.col("lo").alias("x"), F.col("node").alias("y")).distinct(), nodes, percent))
     edges = materialize(_verified(pairs, nodes, docs, reader, percent))
-    edges = edges if links is None else edges.unionByName(links)
-    labels = materialize(components(edges))
-    more = materialize(_rest(stars, labels, sketched, percent))
-    if more.isEmpty():
+    edges = edges if links is None else edges.unionByName(materialize(links))
+    labels = components(edges)
+    pairs = materialize(_forest(_open(stars, labels, nodes), percent))
+    if pairs.isEmpty():
+        return labels
+    edges = edges.unionByName(materialize(_verified(pairs, nodes, docs, reader, percent)))
+    labels = components(edges)
+    rest = materialize(_undecided(_open(stars, labels, nodes), percent))
+    if rest.isEmpty():
         return labels
-    return components(edges.unionByName(_verified(more, nodes, docs, reader, percent)))
+    return components(edges.unionByName(_decided(rest, _bodies(rest.select("_node"), nodes, docs, reader), percent)))
 
 
 def classed(signed: DataFrame, labels: DataFrame) -> DataFrame:

@@ -82,7 +82,9 @@ def test_similar_sets_share_a_signature():
             assert setlinks.similar(*sets.bodies(), percent)
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("most", [1 << 21, 60])
+def test_components_of_chains_and_stars(spark, monkeypatch, most):
+    monkeypatch.setattr(setlinks, "EDGES", most)  # of one task
     edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)] + [(5000, 5001), (5001, 5000), (7, 7)]
     RNG.shuffle(edges)
     out = {r.node: r.label for r in setlinks.components(spark.createDataFrame(edges, "x bigint, y bigint").repartition(7)).collect()}
