@@ -359,12 +359,14 @@ def link_classes(signed: DataFrame, rows: DataFrame, docs: DataFrame, reader: Re
     edges = materialize(_verified(pairs, nodes, docs, reader, percent))
     edges = edges if links is None else edges.unionByName(materialize(links))
     labels = components(edges)
-    pairs = materialize(_forest(_open(stars, labels, nodes), percent))
+    opened = materialize(_open(stars, labels, nodes))
+    pairs = materialize(_forest(opened, percent))
     if pairs.isEmpty():
         return labels
     edges = edges.unionByName(materialize(_verified(pairs, nodes, docs, reader, percent)))
     labels = components(edges)
-    rest = materialize(_undecided(_open(stars, labels, nodes), percent))
+    now = opened.withColumnRenamed("label", "_old").join(labels.withColumnRenamed("node", "_node"), "_node", "left")
+    rest = materialize(_undecided(now.select(*KEYS, "_side", "_node", F.coalesce("label", "_old").alias("label"), "_n", "_sketch"), percent))
     if rest.isEmpty():
         return labels
     return components(edges.unionByName(_decided(rest, _bodies(rest.select("_node"), nodes, docs, reader), percent)))
