@@ -1,0 +1,36 @@
+"""Small groups handed to Python in long runs, without a call from the JVM for every group."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """The rows of equal keys (numbers, not null) as one table each, from batches sorted by the keys; one group is held at a time."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.concat_tables([*held, pa.Table.from_batches([batch])]).combine_chunks()
+        columns = [table[c].to_numpy() for c in keys]
+        starts = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in columns], axis=0))))
+        for a, b in zip(starts[:-1], starts[1:]):
+            yield table.slice(a, b - a)
+        held = [table.slice(starts[-1])]
+    if held:
+        yield held[0].combine_chunks()
+
+
+def map_groups(df: DataFrame, keys: Sequence[str], function: Callable[[pa.Table], pa.Table], schema: str, partitions: int) -> DataFrame:
+    """``df.groupBy(keys).applyInArrow(function, schema)`` for very many small groups: a task sorts its rows and takes the groups in turn."""
+    keys = list(keys)
+
+    def run(batches):
+        for group in sorted_groups(batches, keys):
+            yield from function(group).to_batches()
+
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -33,6 +33,12 @@ def nearest_texts(
                         skip_same_id=True, row_bytes=row_bytes)
 
 
+def whole_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(id, weights) of the vectors that are not null and have no null or NaN in them."""
+    return df.select(F.col(key).alias("id"), F.col(vector).alias("weights")).filter(
+        F.col("weights").isNotNull() & ~F.exists("weights", lambda x: x.isNull() | F.isnan(x)))
+
+
 def nearest_vectors(
     df: DataFrame, key: str, vector: str, k: int, n_rows: int, digits: int = 6, row_bytes: int = ROW_BYTES
 ) -> DataFrame:
@@ -40,8 +46,7 @@ def nearest_vectors(
 
     A null vector, or one with a null or NaN in it, is absent; vectors of two lengths are an error.
     """
-    rows = df.select(F.col(key).alias("id"), F.col(vector).alias("weights")).filter(
-        F.col("weights").isNotNull() & ~F.exists("weights", lambda x: x.isNull() | F.isnan(x)))
+    rows = whole_vectors(df, key, vector)
     return best_matches(rows, rows, k, n_queries=n_rows, n_items=n_rows, digits=digits, skip_same_id=True,
                         row_bytes=row_bytes)
 

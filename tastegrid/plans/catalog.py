@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tastegrid.functions import scrub
 from tastegrid.operators import (
-    analytics, credits, evaluate, factorize, joins, keywords, links, movies, ranking, ratings, recommend, similarity,
-    text,
+    analytics, credits, evaluate, factorize, joins, keywords, links, lsh, movies, pairs, ranking, ratings, recommend,
+    similarity, text,
 )
 from tastegrid.plans import requests
 from tastegrid.session import configure, materialize
@@ -26,6 +26,7 @@ TARGET_TITLE = "small ring"
 USER = 1
 GENRE = "ECONOMY"
 MIN_VOTES = 30
+SIMILAR = 0.8            # least cosine of a pair of similar documents
 HEAT_MAP = 100           # items on the axes of the correlation heat map
 ORDER = ["ts", "ok", "ln"]
 
@@ -428,6 +429,39 @@ def knn_dense_topk(d: Domain) -> DataFrame:
         F.col("query_id").alias("vec_id"), "rank", F.col("item_id").alias("neighbor_id"), "similarity")
 
 
+def searched(column: str) -> Column:
+    """The rows that the approximate searches ask about, against all rows."""
+    return F.col(column) % 20 == 0
+
+
+@query
+def knn_lsh(d: Domain) -> DataFrame:
+    vectors = materialize(similarity.term_vectors(d.document_weights, "doc_id"))
+    return lsh.near_matches(vectors.filter(searched("id")), vectors, K, terms=True, skip_same_id=True).select(
+        F.col("query_id").alias("doc_id"), "rank", F.col("item_id").alias("neighbor_id"), "similarity")
+
+
+@query
+def knn_lsh_dense(d: Domain) -> DataFrame:
+    vectors = similarity.whole_vectors(d.embeddings, "vec_id", "embedding")
+    return lsh.near_matches(vectors.filter(searched("id")), vectors, K, skip_same_id=True).select(
+        F.col("query_id").alias("vec_id"), "rank", F.col("item_id").alias("neighbor_id"), "similarity")
+
+
+@query
+def similar_documents(d: Domain) -> DataFrame:
+    """Pairs of different documents with a cosine of 0.8 or more; equal ones are represented by the smallest id."""
+    vectors = materialize(similarity.term_vectors(d.document_weights, "doc_id"))
+    return pairs.similar_pairs(vectors, SIMILAR).select(F.col("id").alias("doc_id"), F.col("other_id").alias("similar_id"), "similarity")
+
+
+@query
+def document_copies(d: Domain) -> DataFrame:
+    """Every document with the smallest id of those that have the same terms as often."""
+    vectors = similarity.term_vectors(d.document_weights, "doc_id")
+    return pairs.members(vectors).select(F.col("id").alias("doc_id"), F.col("vector_id").alias("first_id"))
+
+
 @query
 def knn_assembled(d: Domain) -> DataFrame:
     movies_text = materialize(d.movie_text.join(d.movies.select("movieId", "genre_name"), "movieId").fillna(

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from tastegrid.plans.catalog import (
-    AS_OF, GENRE, HEAT_MAP, HELD_OUT, K, KS, LIKED, MIN_VOTES, TARGET_TITLE, USER,
+    AS_OF, GENRE, HEAT_MAP, HELD_OUT, K, KS, LIKED, MIN_VOTES, SIMILAR, TARGET_TITLE, USER,
 )
 
 # The genres of the test data.
@@ -383,6 +383,17 @@ select vec_id, rank, neighbor_id, similarity from (
       / nullif(sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)), 0), 0), 6) similarity
     from v a join v b on a.vec_id <> b.vec_id) p) z where rank <= {K}"""
 CTES["v"] = "select vec_id, cast(embedding as double[]) e from embeddings"
+CTES["doc_first"] = """
+select doc_id, min(doc_id) over (partition by e) first_id from (
+  select doc_id, list({'t': term, 'w': tfidf} order by term) e from doc_w group by doc_id) z"""
+BODIES["document_copies"] = "select doc_id, first_id from doc_first"
+BODIES["similar_documents"] = f"""
+select doc_id, similar_id, similarity from (
+  select x.doc_id, y.doc_id similar_id, round(sum(x.tfidf * y.tfidf) / (any_value(a.norm) * any_value(b.norm)), 6) similarity
+  from doc_w x join doc_w y on x.term = y.term and x.doc_id < y.doc_id
+  join doc_norm a on a.doc_id = x.doc_id join doc_norm b on b.doc_id = y.doc_id
+  where x.doc_id in (select first_id from doc_first) and y.doc_id in (select first_id from doc_first)
+  group by x.doc_id, y.doc_id) p where similarity >= {SIMILAR}"""
 BODIES["hybrid_scores"] = f"""
 select "userId", seed_id, rank, "movieId", score from (
   select *, cast(row_number() over (partition by "userId" order by score desc, "movieId") as int) rank from (
