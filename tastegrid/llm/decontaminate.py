@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.llm.columns import packed, unpacked
 from tastegrid.llm.hashing import NOT_WORD, grams, lower_latin, pieces, prefix_sums, span_hash, text_bytes, word_spans
 
 SHINGLE = 5
@@ -152,15 +153,24 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text_col="text", item_co
     The benchmark is the query set. It is searched in blocks of ``ITEM_BLOCK`` items, one narrow pass
     each, so what a task holds of it is bounded whatever its size.
     """
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t")).distinct()
     blocks = max(1, -(-items.count() // ITEM_BLOCK))
-    out, found = docs, []
+    out, found = docs.select(F.col(text_col).alias("_text"), packed(docs, [text_col])), []
     for block in range(blocks):
         chosen = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block)
         held = tuple(sorted(((r.i, r.t) for r in chosen.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
-        out = _with_matches(out, held, text_col, threshold, f"_matches{block}", drop_text and block == blocks - 1)
+        out = _with_matches(out, held, "_text", threshold, f"_matches{block}", drop_text and block == blocks - 1)
         found.append(f"_matches{block}")
-    return out.withColumn("matches", F.concat(*found) if len(found) > 1 else F.col(found[0])).drop(*found)
+    own = {} if drop_text else {text_col: F.col("_text")}
+    matches = F.concat(*found) if len(found) > 1 else F.col(found[0])
+    return out.select(*unpacked([c for c in docs.columns if not (drop_text and c == text_col)], own | {"matches": matches}))
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, text_col="text") -> DataFrame:
+    """The rows of ``docs``, all their columns as they are, that have no window like a benchmark item."""
+    rest = docs.select(F.col(text_col).alias("_t"), packed(docs, [text_col]).alias("_row"))
+    clean = find_matches(rest, benchmark, "_t").filter(F.size("matches") == 0)
+    return clean.select(*(F.col("_t").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def _with_matches(docs, held, text_col, threshold, name, drop_text):

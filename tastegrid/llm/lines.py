@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.llm.columns import ROW, packed
+
 MIN_WORDS = 8
 LOWEST = -(1 << 63)
 
@@ -126,7 +128,7 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, dealt: DataFrame
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the removed lines taken out of the text, ``n_lines`` and ``lines_removed``."""
+    """``docs`` with the removed lines taken out of the text, ``n_lines`` and ``lines_removed`` (which replace columns of those names)."""
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     table = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_h"),
@@ -145,4 +147,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         id_col: F.when(F.col("_id") != LOWEST, F.col("_id")),
         text_col: F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(left),
     })
-    return out.select(*(F.col(f"_others.{c}").alias(c) if c in others else F.col(c) for c in docs.columns), "n_lines", "lines_removed")
+    return out.select(*(F.col("_others")[c].alias(c) if c in others else F.col(c) for c in docs.columns if c not in ("n_lines", "lines_removed")),
+                      "n_lines", "lines_removed")
+
+
+def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` without the lines that an earlier one has; ``length_col``, if there, follows the text.
+
+    A document that loses every line with words, such as a later exact copy, is dropped: nothing of its own is left. The other
+    columns stay as they are.
+    """
+    rest = docs.select(id_col, text_col, packed(docs, [id_col, text_col]))
+    emptied = (F.col("lines_removed") > 0) & (F.trim(F.col(text_col), F.lit(" \t\r\v\f\n")) == "")
+    out = dedup_lines(rest, id_col, text_col).filter(~emptied)
+    length = F.coalesce(F.length(text_col), F.lit(0)).cast("bigint")
+    return out.select(*(F.col(c) if c in (id_col, text_col) else length.alias(c) if c == length_col else F.col(ROW)[c].alias(c) for c in docs.columns))

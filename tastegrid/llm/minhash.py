@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.llm.columns import ROW, packed
 from tastegrid.llm.hashing import mix, shingles
 from tastegrid.llm.setlinks import LOWEST, NODE, Sets, classed, link_classes, make_sets, over_texts
 from tastegrid.operators.joins import salted_join
@@ -102,3 +103,23 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null = lambda c: F.when(F.col(c) != LOWEST, F.col(c))
     return salted_join(ids, sizes, ["class_id"], "inner", spread_by=["_id"]).select(
         null("_id").alias(id_col), null("class_id").alias("class_id"), "class_size")
+
+
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class of near-duplicate texts, with its columns as they are; empty texts are a class like any other.
+
+    Classes are made of texts (64 bits of hash), not of ids, which may be repeated or null. The row of smallest id stays, null
+    first, then of smallest text hash, then of smallest hash of the other columns; rows equal in all of that are one.
+    """
+    others = [F.col(c) for c in docs.columns if c not in (id_col, text_col)]
+    keyed = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(LOWEST)).alias("_id"),
+        F.greatest(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(LOWEST + 1)).alias("_key"),  # LOWEST is a null id
+        F.xxhash64(*others, *(F.col(c).isNull() for c in docs.columns)).alias("_row"), F.col(text_col).alias("_text"), packed(docs, [text_col]))
+    classes = near_classes(keyed.select("_key", "_text"), "_key", "_text")
+    least = keyed.groupBy("_key").agg(F.min(F.struct("_id", "_row")).alias("_least"))
+    first = least.join(classes, "_key").groupBy("class_id").agg(
+        F.min(F.struct("_least._id", "_key", "_least._row")).alias("_first")).select("_first.*")
+    keys = ["_id", "_key", "_row"]
+    return keyed.join(first, keys, "left_semi").dropDuplicates(keys).select(
+        *(F.col("_text").alias(c) if c == text_col else F.col(ROW)[c].alias(c) for c in docs.columns))

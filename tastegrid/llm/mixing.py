@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegrid.llm.columns import ROW, packed
 from tastegrid.operators.joins import salted_join
 
 WORDS = r"[^ \t-\r]+"
@@ -77,21 +78,22 @@ def budgets(leaves: DataFrame, levels: Sequence[str], weights: Sequence[Column],
 
 def mix(docs: DataFrame, levels: dict[str, Column], weights: Sequence[Column], budget: Column, epochs: int, seed: int = 17,
         id_col: str = "doc_id", text_col: str = "text", buckets: int = 3) -> DataFrame:
-    """The chosen rows with their level columns, ``n_tokens`` and ``copies`` (how often the row is taken).
+    """The chosen rows with their level columns, ``n_tokens`` and ``copies`` (how often the row is taken), which replace columns of
+    those names.
 
     A leaf of any size is summed in two steps: per bucket of the seeded order (``buckets`` hex digits), then
     within a bucket. Only ids, levels and sums are shuffled for that, not texts.
     """
     names = list(levels)
-    keyed = docs.withColumns({**{n: F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()},
-                              "n_tokens": n_tokens(text_col)})
+    keyed = docs.select(*(F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()), n_tokens(text_col).alias("n_tokens"),
+                        F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"), packed(docs))
     leaves = keyed.groupBy(*names).agg(F.sum("n_tokens").alias("supply"))
     plan = budgets(leaves, names, weights, budget, epochs).withColumn(
         "_epochs", F.when(F.col("supply") > 0, F.floor(F.col("leaf_budget") / F.col("supply"))).otherwise(0).cast("bigint")
     ).withColumn("_rest", F.col("leaf_budget") - F.col("_epochs") * F.col("supply")).drop("supply", "leaf_budget")
-    placed = salted_join(keyed.withColumn("_text_hash", F.xxhash64(text_col)), plan, names, "inner", [id_col], SPREAD)
+    placed = salted_join(keyed, plan, names, "inner", ["_id"], SPREAD)
     seeded = F.md5(F.concat_ws("|", F.lit(seed).cast("string"), F.col("_epochs").cast("string"),
-                               F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+                               F.coalesce(F.col("_id").cast("string"), F.lit("null"))))
     placed = placed.withColumn("_key", seeded).withColumn("_bucket", F.substring("_key", 1, buckets))
     sums = placed.groupBy(*names, "_bucket").agg(F.sum("n_tokens").alias("_sum"))
     before = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -100,5 +102,5 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: Sequence[Column], b
         Window.unboundedPreceding, Window.currentRow)
     taken = placed.join(sums, [*names, "_bucket"]).withColumn("_sum", F.col("_before") + F.sum("n_tokens").over(inside))
     copies = F.col("_epochs") + (F.col("_sum") <= F.col("_rest")).cast("bigint")
-    kept = [c for c in docs.columns if c not in names]
-    return taken.withColumn("copies", copies).filter("copies > 0").select(*kept, *names, "n_tokens", "copies")
+    kept = [c for c in docs.columns if c not in (*names, "n_tokens", "copies")]
+    return taken.withColumn("copies", copies).filter("copies > 0").select(*(F.col(ROW)[c].alias(c) for c in kept), *names, "n_tokens", "copies")

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.llm.columns import packed, unpacked
 from tastegrid.llm.hashing import lower_latin, pieces, prefix_sums, span_hash, text_bytes, word_spans, NOT_WORD
 
 TRAIN_ROWS = 6000     # bound of the labelled sample that the model is fitted on
@@ -65,7 +66,7 @@ def emissions(model, hashes):
     return model.bias + padded[lookup(model.features, hashes)].sum(axis=0)
 
 
-def marginals(energy, first, transition, width=256):
+def sweeps(energy, first, transition, width=256):
     """P(TOXIC) of every token; texts are independent chains that lie one after the other.
 
     The chain is cut into columns that advance together: first each column's product of 2 x 2
@@ -113,7 +114,22 @@ def marginals(energy, first, transition, width=256):
     backward = sweep(toxic[::-1], begins[1:][::-1])[::-1]  # it also counts the token's own emission
     up = forward * backward / toxic
     down = (1 - forward) * (1 - backward)
-    return (up / (up + down))[:n]
+    return (up / (up + down))[:n], forward[:n], backward[:n]
+
+
+def marginals(*args, **options) -> np.ndarray:
+    """Probability of every token of being toxic."""
+    return sweeps(*args, **options)[0]
+
+
+def pair_marginals(forward, backward, transition, at) -> np.ndarray:
+    """(4 x pairs): probabilities of the states 00, 01, 10, 11 of the tokens before ``at`` and at it.
+
+    Forward vectors count the emissions up to a token, backward ones those from it on; the edge between them is counted once.
+    """
+    left, right = forward[at - 1], backward[at]
+    joint = np.stack(((1 - left) * (1 - right), (1 - left) * right, left * (1 - right), left * right)) * np.exp(transition.reshape(4, 1))
+    return joint / joint.sum(axis=0)
 
 
 def document_features(p, first):
@@ -184,13 +200,9 @@ def fit_arrays(data, offsets, toxic) -> Model:
     for t in range(1, STEPS + 1 if len(tokens) else 1):
         energy = theta[size] + np.bincount(rows, theta[cols], len(tokens))
         transition = theta[size + 1:].reshape(2, 2)
-        p = marginals(energy, begin, transition, width=64)
+        p, forward, backward = sweeps(energy, begin, transition, width=64)
         error = p - truth
-        # Expected transitions from neighbouring marginals, corrected by the edge potentials.
-        left, right = p[pairs - 1], p[pairs]
-        joint = np.stack(((1 - left) * (1 - right), (1 - left) * right, left * (1 - right), left * right)) * np.exp(
-            transition.reshape(4, 1))
-        joint /= joint.sum(axis=0)
+        joint = pair_marginals(forward, backward, transition, pairs)
         grad = np.concatenate((
             np.bincount(cols, error[rows], size), [error.sum()], (joint.sum(axis=1) - wanted.reshape(-1))))
         grad = grad / len(tokens) * 50 + 1e-4 * theta
@@ -220,7 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, id_col="doc_id", text_c
     chosen = known.withColumnRenamed("_id", id_col).filter(use).withColumnRenamed(id_col, "_id").orderBy(
         F.xxhash64("_id"), "_id").limit(train_rows)
     sample = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(
-        F.broadcast(chosen), "_id").groupBy("_id").agg(F.first("_text").alias("_text"), F.first("_label").alias("_label"))
+        F.broadcast(chosen), "_id").groupBy("_id").agg(
+        F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"), F.first("_label").alias("_label"))
 
     def learn(batches):
         tables = [b for b in batches if b.num_rows]
@@ -236,15 +249,15 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, id_col="doc_id", text_c
 
 def score(docs: DataFrame, model: Model | None, text_col="text", spans: bool = False) -> DataFrame:
     """``docs`` with ``tox_score`` (0 to 1), ``tox_tokens`` (marginal of 0.5 or more) and, if asked for,
-    ``tox_spans``: offsets of the offending spans in code points.
+    ``tox_spans``: offsets of the offending spans in code points. They replace columns of those names.
     """
-    extra = "tox_score double, tox_tokens bigint" + (", tox_spans array<struct<start:bigint,end:bigint>>" if spans else "")
-    columns = docs.columns
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), extra])
+    rest = docs.select(F.col(text_col).alias("_text"), packed(docs, [text_col]))
+    own = {"tox_score": "double", "tox_tokens": "bigint"} | ({"tox_spans": "array<struct<start:bigint,end:bigint>>"} if spans else {})
+    fields = [*((f.name, f.dataType.simpleString()) for f in rest.schema.fields), *((f"_{n}", t) for n, t in own.items())]
 
     def run(batches):
         for batch in batches:
-            data, offsets = text_bytes(batch.column(columns.index(text_col)))
+            data, offsets = text_bytes(batch.column(0))
             values, counts, places = [], [], []
             for i, j in pieces(offsets, PIECE):
                 if model is None:
@@ -260,13 +273,19 @@ def score(docs: DataFrame, model: Model | None, text_col="text", spans: bool = F
                     places.extend(offending(part, offsets[i:j + 1] - offsets[i], starts, ends, first, p >= 0.5))
             arrays = [*batch.columns, pa.array(np.concatenate(values or [np.zeros(0)])),
                       pa.array(np.concatenate(counts or [np.zeros(0)]).astype(np.int64))]
-            names = [*columns, "tox_score", "tox_tokens"]
             if spans:
                 arrays.append(pa.array(places, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
-                names.append("tox_spans")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            yield pa.RecordBatch.from_arrays(arrays, [n for n, _ in fields])
+
+    scored = rest.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in fields))
+    return scored.select(*unpacked(docs.columns, {text_col: F.col("_text")} | {n: F.col(f"_{n}") for n in own}))
+
 
-    return docs.mapInArrow(run, schema)
+def without_toxic(docs: DataFrame, model: Model | None, text_col="text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all their columns as they are, whose text scores below ``threshold``."""
+    scored = score(docs.select(F.col(text_col).alias("_t"), packed(docs, [text_col]).alias("_row")), model, "_t").filter(
+        F.col("tox_score") < threshold)
+    return scored.select(*(F.col("_t").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def offending(data, offsets, starts, ends, first, hit):
