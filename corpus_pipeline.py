@@ -7,7 +7,6 @@ folder as Parquet and reads them again, so a stage works on what its predecessor
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tastegrid.llm import decontaminate, lines, minhash, queries, toxicity
 from tastegrid.session import configure, materialize
@@ -16,43 +15,22 @@ from tastegrid.session import configure, materialize
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity field scores below 0.5; it learns from the labelled ones that are not held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = toxicity.fit(docs, labels, queries.crc_mod("doc_id", 5) != 0)
-    return toxicity.score(docs, model).filter("tox_score < 0.5").drop("tox_score", "tox_tokens")
+    return toxicity.without_toxic(docs, toxicity.fit(docs, labels, queries.crc_mod("doc_id", 5) != 0))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier one has; ``n_chars`` follows the text.
-
-    A document that loses every line with words, such as a later exact copy, is dropped: nothing of its own is left.
-    """
-    emptied = (F.col("lines_removed") > 0) & (F.trim("text", F.lit(" \t\r\v\f\n")) == "")
-    out = lines.dedup_lines(docs).filter(~emptied).drop("n_lines", "lines_removed")
-    return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("bigint"))
+    """Every document without the lines that an earlier one has; one that loses all of them goes."""
+    return lines.without_repeated_lines(docs)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near-duplicate texts; empty texts are a class like any other.
-
-    Classes are made of texts (64 bits of hash), not of ids, which may be repeated or null. The row of smallest id stays, null
-    first, then of smallest text hash, then of smallest hash of the other columns; rows equal in all of that are one.
-    """
-    keys = ["_id", "_text", "_row"]
-    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-    keyed = docs.withColumns({
-        "_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(minhash.LOWEST)),
-        "_text": F.greatest(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(minhash.LOWEST + 1)),  # LOWEST is a null id
-        "_row": F.xxhash64(*others, *(F.col(c).isNull() for c in docs.columns))})
-    classes = minhash.near_classes(keyed.select("_text", "text"), "_text")
-    least = keyed.groupBy("_text").agg(F.min(F.struct("_id", "_row")).alias("_least"))
-    first = least.join(classes, "_text").groupBy("class_id").agg(
-        F.min(F.struct("_least._id", "_text", "_least._row")).alias("_first")).select("_first.*")
-    return keyed.join(first, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    """One row of each class of near-duplicate texts."""
+    return minhash.one_per_class(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window like a benchmark item."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.find_matches(docs, benchmark).filter(F.size("matches") == 0).drop("matches")
+    return decontaminate.without_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
