@@ -27,6 +27,7 @@ from tastegrid.llm.hashing import lower_latin, pieces, prefix_sums, span_hash, t
 
 TRAIN_ROWS = 6000     # bound of the labelled sample that the model is fitted on
 VOCABULARY = 5000     # features kept
+FEATURED = 1 << 17  # tokens whose features are sorted at once in training
 WINDOWS = 10000       # bound of the training sequences
 REACH = 8             # tokens on each side of a training sequence's middle
 STEPS = 60
@@ -156,11 +157,17 @@ def fit_arrays(data, offsets, toxic) -> Model:
     positive, negative = max(1, int(toxic.sum())), max(1, int((toxic == 0).sum()))
 
     # Documents with each feature, among the toxic ones and the others.
-    flat = np.stack((hashes.reshape(-1), np.tile(owner, len(hashes)).astype(np.uint64)), axis=1)
-    flat = flat[np.lexsort((flat[:, 1], flat[:, 0]))]
-    fresh = np.ones(len(flat), bool)
-    fresh[1:] = (flat[1:] != flat[:-1]).any(axis=1)
-    flat = flat[fresh]
+    # Some documents at a time: a pair of feature and document occurs within one part only.
+    parts = [np.zeros((0, 2), np.uint64)]
+    for i, j in pieces(first, FEATURED):
+        own = slice(first[i], first[j])
+        flat = np.stack((hashes[:, own].reshape(-1), np.tile(owner[own], len(hashes)).astype(np.uint64)), axis=1)
+        flat = flat[np.lexsort((flat[:, 1], flat[:, 0]))]
+        fresh = np.ones(len(flat), bool)
+        fresh[1:] = (flat[1:] != flat[:-1]).any(axis=1)
+        parts.append(flat[fresh])
+    flat = np.concatenate(parts)
+    del parts
     keys, at = np.unique(flat[:, 0], return_inverse=True)
     bad = toxic[flat[:, 1].astype(np.int64)] == 1
     with_bad = np.bincount(at[bad], minlength=len(keys))
