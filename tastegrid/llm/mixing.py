@@ -21,7 +21,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegrid.llm.columns import ROW, packed
 from tastegrid.operators.joins import salted_join
 
 WORDS = r"[^ \t-\r]+"
@@ -86,7 +85,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: Sequence[Column], b
     """
     names = list(levels)
     keyed = docs.select(*(F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()), n_tokens(text_col).alias("n_tokens"),
-                        F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"), packed(docs))
+                        F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"),
+                        *(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)))  # unused ones are not read
     leaves = keyed.groupBy(*names).agg(F.sum("n_tokens").alias("supply"))
     plan = budgets(leaves, names, weights, budget, epochs).withColumn(
         "_epochs", F.when(F.col("supply") > 0, F.floor(F.col("leaf_budget") / F.col("supply"))).otherwise(0).cast("bigint")
@@ -102,5 +102,5 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: Sequence[Column], b
         Window.unboundedPreceding, Window.currentRow)
     taken = placed.join(sums, [*names, "_bucket"]).withColumn("_sum", F.col("_before") + F.sum("n_tokens").over(inside))
     copies = F.col("_epochs") + (F.col("_sum") <= F.col("_rest")).cast("bigint")
-    kept = [c for c in docs.columns if c not in (*names, "n_tokens", "copies")]
-    return taken.withColumn("copies", copies).filter("copies > 0").select(*(F.col(ROW)[c].alias(c) for c in kept), *names, "n_tokens", "copies")
+    kept = [F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in (*names, "n_tokens", "copies")]
+    return taken.withColumn("copies", copies).filter("copies > 0").select(*kept, *names, "n_tokens", "copies")
