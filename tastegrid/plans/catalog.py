@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.functions import scrub
 from tastegrid.operators import (
-    analytics, credits, evaluate, factorize, joins, keywords, links, lsh, movies, pairs, ranking, ratings, recommend,
+    analytics, credits, decay, evaluate, factorize, joins, keywords, links, lsh, movies, pairs, ranking, ratings, recommend,
     similarity, text,
 )
 from tastegrid.plans import requests
@@ -341,6 +341,15 @@ def decayed_popularity(d: Domain) -> DataFrame:
         "movieId", r6("decayed_score").alias("decayed_score"))
 
 
+@query
+def decayed_popularity_merged(d: Domain) -> DataFrame:
+    """The same scores from stored sums: those of two parts of the ratings merged, old epochs folded."""
+    rows = d.stored_ratings
+    states = [decay.decay_state(rows.filter(F.pmod(F.xxhash64("userId"), F.lit(2)) == half)) for half in (0, 1)]
+    state = materialize(decay.folded(decay.merged(*states), AS_OF // decay.EPOCH - 4))
+    return decay.popularity_at(state, AS_OF).select("movieId", r6("decayed_score").alias("decayed_score"))
+
+
 @query
 def missing_movie_ids(d: Domain) -> DataFrame:
     described = d.documents.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("movieId"))

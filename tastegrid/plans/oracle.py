@@ -336,6 +336,7 @@ select "userId", "movieId", round(avg(rating), 6) rating from rating_events grou
 BODIES["time_decay"] = 'select "userId", "movieId", round(weighted_rating, 9) weighted_rating from decayed'
 BODIES["decayed_popularity"] = """
 select "movieId", round(sum(weighted_rating), 6) decayed_score from decayed group by 1"""
+BODIES["decayed_popularity_merged"] = BODIES["decayed_popularity"]
 BODIES["missing_movie_ids"] = """
 select distinct "movieId" from ratings where "movieId" not in (select doc_id from documents where text is not null)"""
 DEFAULTS = """coalesce(title, 'Unknown') title, coalesce(genre_id, -1) genre_id, coalesce(genre_name, 'Unknown') genre_name,
