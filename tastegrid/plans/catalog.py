@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tastegrid.functions import scrub
 from tastegrid.operators import (
     analytics, credits, decay, evaluate, factorize, joins, keywords, links, lsh, movies, pairs, ranking, ratings, recommend,
-    similarity, text,
+    similarity, sketches, text,
 )
 from tastegrid.plans import requests
 from tastegrid.session import configure, materialize
@@ -633,6 +633,23 @@ def genre_diversity(d: Domain) -> DataFrame:
     return analytics.genre_diversity(d.recs, d.movie_genres)
 
 
+@query
+def genre_diversity_sketch(d: Domain) -> DataFrame:
+    """The same counts from sketches of two parts of the lists, united; exact for as few genres as there are."""
+    listed = joins.salted_join(d.recs.select("userId", "movieId"), d.movie_genres.select("movieId", "genre_name"), ["movieId"], "left",
+                               spread_by=["userId"]).fillna({"genre_name": "Unknown"})
+    listed = materialize(listed)
+    states = [sketches.distinct_state(listed.filter(F.pmod("movieId", F.lit(2)) == half), ["userId"], "genre_name") for half in (0, 1)]
+    state = materialize(sketches.distinct_merged(*states, keys=["userId"]))
+    return sketches.distinct_counts(state, ["userId"], "genre_diversity")
+
+
+@query
+def rating_quantiles_sketch(d: Domain) -> DataFrame:
+    """Quartiles of the ratings of every user from stored sketches."""
+    return sketches.quantiles_of(materialize(sketches.quantile_state(d.ratings, ["userId"], "rating")), ["userId"], (0.25, 0.5, 0.75))
+
+
 @query
 def genre_diversity_histogram(d: Domain) -> DataFrame:
     return analytics.histogram(analytics.genre_diversity(d.recs, d.movie_genres), "genre_diversity", 10)

@@ -452,6 +452,7 @@ BODIES["genre_popularity"] = """
 select coalesce(genre_name, 'Unknown') genre_name, cast(coalesce(sum(n), 0) as bigint) n_recs
 from (select "movieId", count(*) n from recs group by 1) r full join genre_rows_all g on g.id = r."movieId" group by 1"""
 BODIES["genre_diversity"] = """select "userId", genre_diversity from diversity"""
+BODIES["genre_diversity_sketch"] = BODIES["genre_diversity"]
 
 
 def histogram(source: str, column: str, bins: int) -> str:
