@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF, HashingTF, StringIndexer, Tokenizer, VectorAssembler,
 )
@@ -77,6 +77,16 @@ def content_pipeline(text: str, category: str, features: str = "features", bucke
     ])
 
 
+def store_pipeline(model: PipelineModel, path: str) -> None:
+    """Write a fitted pipeline (vocabulary, document frequencies, labels) to a folder, replacing what is there."""
+    model.write().overwrite().save(path)
+
+
+def stored_pipeline(path: str) -> PipelineModel:
+    """A fitted pipeline as it was stored: new rows get the features they would have got then."""
+    return PipelineModel.load(path)
+
+
 def sparse_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, indices, weights) arrays of an ML vector column, read without leaving the JVM."""
     raw = F.unwrap_udt(vector)
