@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +59,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: Iterable[str] = ()) ->
 def load_tables(spark: SparkSession, base: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """Parquet tables of one folder as ``{name: DataFrame}``."""
     return {name: spark.read.parquet(f"{base}/{name}.parquet") for name in names}
+
+
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write Parquet in folders by the values of ``by``; a rerun replaces the folders that its rows belong to and no others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def store_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Save as a table dealt to ``buckets`` files by ``keys`` and sorted by them, replacing one of that name.
+
+    Aggregates, windows and joins of such tables by these keys read them where they lie, without an exchange.
+    """
+    df.repartition(buckets, *keys).write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
