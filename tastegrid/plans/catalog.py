@@ -14,8 +14,10 @@ from tastegrid.operators import (
     similarity, sketches, text,
 )
 from tastegrid.plans import requests
-from tastegrid.session import configure, materialize
+from tastegrid.session import configure, materialize, shared_path
+from tastegrid.sources import files
 from tastegrid.sources.star_schema import MovieTables
+from tastegrid.streaming import profiles
 
 AS_OF = 1009843200       # 2002-01-01 UTC, after the last rating
 K = 10                   # length of a recommendation list
@@ -29,6 +31,8 @@ MIN_VOTES = 30
 SIMILAR = 0.8            # least cosine of a pair of similar documents
 HEAT_MAP = 100           # items on the axes of the correlation heat map
 ORDER = ["ts", "ok", "ln"]
+RATINGS_FILE = "userId BIGINT, movieId BIGINT, rating DOUBLE, timestamp BIGINT, ok BIGINT, ln INT"
+EVENTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def r6(column: str | Column) -> Column:
@@ -153,6 +157,25 @@ def ratings_clean(d: Domain) -> DataFrame:
     return ratings.clean_ratings(d.ratings_dirty).select("userId", "movieId", "rating", "rating_date", "ok", "ln")
 
 
+@query
+def ratings_accepted(d: Domain) -> DataFrame:
+    """The rows of a dirty ratings file that parse."""
+    return files.read_checked(d.spark, d.ratings_file, RATINGS_FILE)[0]
+
+
+@query
+def ratings_quarantine(d: Domain) -> DataFrame:
+    """The rows of the same file that do not, with the columns at fault."""
+    return files.read_checked(d.spark, d.ratings_file, RATINGS_FILE)[1]
+
+
+@query
+def unparsed_lists(d: Domain) -> DataFrame:
+    """Every nested list whose text does not parse."""
+    types = {"genres": scrub.GENRE_TYPE, "production_companies": scrub.COMPANY_TYPE, "production_countries": scrub.COUNTRY_TYPE}
+    return movies.list_faults(d.movie_lists_cut, types)
+
+
 @query
 def ratings_union(d: Domain) -> DataFrame:
     return ratings.merge_sources(d.ratings_small, d.ratings_full, ["userId", "movieId", "rating", "timestamp"])
@@ -305,6 +328,20 @@ def user_profile(d: Domain) -> DataFrame:
     return ratings.profile(d.ratings, "userId", "user").withColumn("user_avg_rating", r6("user_avg_rating"))
 
 
+@query
+def event_profiles_stream(d: Domain) -> DataFrame:
+    """Events and mean value per user and day, kept by a stream over the events until it has taken in all of them.
+
+    The order of the files of a table says nothing about their times, so the delay is longer than any table's span.
+    """
+    stream = profiles.parquet_stream(d.spark, f"{d.base}/events.parquet*", EVENTS)
+    states = profiles.window_states(stream, "user_id", "value", "ts", "1 day", "36500 days")
+    path = shared_path(d.spark, "profiles")
+    profiles.maintain(states, path, shared_path(d.spark, "stream")).awaitTermination()
+    return profiles.current(d.spark, path, ["user_id"]).select(
+        F.to_date("window_start").alias("day"), "user_id", "n_events", "n_values", r6("mean").alias("mean_value"))
+
+
 @query
 def movie_profile(d: Domain) -> DataFrame:
     return ratings.profile(d.ratings, "movieId", "movie").withColumn("movie_avg_rating", r6("movie_avg_rating"))

@@ -454,6 +454,25 @@ from (select "movieId", count(*) n from recs group by 1) r full join genre_rows_
 BODIES["genre_diversity"] = """select "userId", genre_diversity from diversity"""
 BODIES["genre_diversity_sketch"] = BODIES["genre_diversity"]
 
+BODIES["ratings_accepted"] = """
+select "userId", "movieId", rating, cast(epoch(ts) as bigint) "timestamp", cast(ok as bigint) ok, cast(ln as integer) ln
+from rating_events where l_discount < 0.1 and l_tax < 0.08"""
+BODIES["ratings_quarantine"] = """
+select concat("userId", ',', "movieId", ',', case when l_discount >= 0.1 then 'n/a' else cast(rating as varchar) end, ',',
+    case when l_tax >= 0.08 then 'unknown' else cast(cast(epoch(ts) as bigint) as varchar) end, ',', ok, ',', ln) record,
+  concat_ws(', ', case when l_discount >= 0.1 then 'rating' end, case when l_tax >= 0.08 then 'timestamp' end) reason
+from rating_events where l_discount >= 0.1 or l_tax >= 0.08"""
+BODIES["unparsed_lists"] = """
+select id, list_name, text from (
+  select id, unnest(['genres', 'production_companies', 'production_countries']) list_name,
+    unnest([genres, production_companies, production_countries]) whole,
+    case when id % 17 = 0 then left(whole, length(whole) - 2) else whole end as text
+  from movies_raw) z
+where not json_valid(replace(replace(text, chr(39), '"'), 'None', 'null'))"""
+BODIES["event_profiles_stream"] = """
+select cast(ts as date) as day, user_id, count(*) n_events, count(value) n_values, round(avg(value), 6) mean_value
+from events where ts is not null group by 1, 2"""
+
 
 def histogram(source: str, column: str, bins: int) -> str:
     return f"""

@@ -35,11 +35,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it from there, for a table that several passes use."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the session: the one named by ``spark.checkpoint.dir``, which every executor must reach.
 

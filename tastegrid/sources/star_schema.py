@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.operators.ratings import latest_per_key
-from tastegrid.session import materialize
+from tastegrid.session import materialize, shared_path
+from tastegrid.sources.files import write_csv
 
 
 def _quoted(text):
@@ -61,6 +62,17 @@ class MovieTables:
             F.unix_timestamp("ts").alias("timestamp"), "ok", "ln",
         )
 
+    @cached_property
+    def ratings_file(self) -> str:
+        """Path of a ratings CSV, written on first use, in which some ratings and timestamps are no numbers."""
+        path = shared_path(self.spark, "csv")
+        write_csv(self.rating_events.select(
+            "userId", "movieId",
+            F.when(F.col("l_discount") >= 0.1, "n/a").otherwise(F.col("rating").cast("string")).alias("rating"),
+            F.when(F.col("l_tax") >= 0.08, "unknown").otherwise(F.unix_timestamp("ts").cast("string")).alias("timestamp"),
+            "ok", "ln"), path)
+        return path
+
     @cached_property
     def ratings_full(self) -> DataFrame:
         return self.rating_events.select("userId", "movieId", "rating", F.unix_timestamp("ts").alias("timestamp"))
@@ -119,6 +131,14 @@ class MovieTables:
             .alias("production_countries"),
         )
 
+    @cached_property
+    def movie_lists_cut(self) -> DataFrame:
+        """The parts' nested lists with some of them cut off, as in a file that was not written to its end."""
+        cut = F.col("id") % 17 == 0
+        return self.movie_parts.select("id", *[
+            F.when(cut, F.expr(f"left({c}, length({c}) - 2)")).otherwise(F.col(c)).alias(c)
+            for c in ("genres", "production_companies", "production_countries")])
+
     def _with_votes(self, movies: DataFrame) -> DataFrame:
         votes = self.known_ratings.groupBy(F.col("movieId").alias("id")).agg(
             F.min("ts").cast("date").alias("release_date"),

@@ -34,3 +34,31 @@ def test_parquet_keeps_arrays_and_partitions(spark, tmp_path):
 def test_load_tables(spark, sf_dir):
     tables = files.load_tables(spark, sf_dir, ["region", "nation"])
     assert tables["region"].count() == 5 and tables["nation"].count() == 25
+
+
+def test_quarantine_holds_what_does_not_parse(spark, tmp_path):
+    lines = ["userId,movieId,rating,timestamp", "1,2,3.5,10", "x,2,3.5,10", "1,2,n/a,late", "1,2", "1,2,3,4,5", ",,,", '"7","8","1.5","9"']
+    path = tmp_path / "ratings.csv"
+    path.write_text("\n".join(lines) + "\n")
+    good, bad = files.read_table_checked(spark, str(path), "ratings")
+    assert rows(good) == sorted([(1, 2, 3.5, 10), (None,) * 4, (7, 8, 1.5, 9)], key=repr)
+    assert rows(bad) == [("1,2", "columns"), ("1,2,3,4,5", "columns"), ("1,2,n/a,late", "rating, timestamp"), ("x,2,3.5,10", "userId")]
+    assert good.count() + bad.count() == len(lines) - 1
+
+
+def test_credits_are_read_in_splits_and_stray_line_breaks_show(spark, tmp_path):
+    values = [(f"[{{'name': \"O'Neil, {i}\"}}]", "[]", i) for i in range(2000)]
+    path = str(tmp_path / "credits")
+    files.write_csv(spark.createDataFrame(values, files.SCHEMAS["credits"]).coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        table = files.read_table(spark, path, "credits")
+        assert table.rdd.getNumPartitions() > 1 and rows(table) == sorted(values, key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    broken = spark.createDataFrame([("a\nb", "c", 1), ("d", "e", 2)], files.SCHEMAS["credits"]).coalesce(1)
+    files.write_csv(broken, path)
+    assert rows(files.read_table_checked(spark, path, "credits")[1]) == [('"a', "columns")]
+    good, bad = files.read_table_checked(spark, path, "credits", multiline=True)
+    assert rows(good) == rows(broken) and bad.count() == 0
