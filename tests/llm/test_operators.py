@@ -64,6 +64,35 @@ def test_prefix_hashes():
     assert fingerprints.likeness(fingerprints.fingerprint(a), fingerprints.fingerprint(b)) > 0.75
 
 
+def test_likeness_sees_what_is_between_the_changes():
+    a = words(2000).split(" ")
+    b = list(a)
+    b[3] = b[-4] = "changed"
+    one, two, other = (fingerprints.fingerprint(" ".join(t)) for t in (a, b, words(2000).split(" ")))
+    assert fingerprints.likeness(one, two) > 0.9 and fingerprints.likeness(one, one) == 1
+    assert fingerprints.likeness(one, other) < 0.1 and fingerprints.likeness(two, one) == fingerprints.likeness(one, two)
+    # A part of a text, in another place: the shared spans of the longer one.
+    part = fingerprints.fingerprint("start " + " ".join(a[500:1500]))
+    assert abs(fingerprints.likeness(one, part) - 0.5) < 0.25
+    assert fingerprints.likeness(fingerprints.fingerprint(""), one) == 0
+
+
+@pytest.mark.parametrize("n", [0, 5, 23, 24, 25, 60, 87, 88, 400, 5000])
+def test_chosen_spans_by_brute_force(n):
+    text = (words(n // 4 + 3) + "é\U0001f600")[-n:] if n else ""
+    every = Counter(text[i:i + fingerprints.SPAN] for i in range(len(text) - fingerprints.SPAN + 1))
+    bits, kept, times = fingerprints.chosen_spans(fingerprints.PrefixHashes(text))
+    # The hash of a span on its own tells whether the text keeps it.
+    value = {s: int(fingerprints.chosen_spans(fingerprints.PrefixHashes(s))[1][0]) for s in every}
+    assert dict(zip(kept.tolist(), times.tolist())) == {v: every[s] for s, v in value.items() if v % 2**bits == 0}
+    assert sum(every.values()) <= fingerprints.CHOSEN or sum(every.values()) / 2**bits <= fingerprints.CHOSEN
+
+
+def test_chosen_spans_of_a_uniform_text():
+    one, two = (fingerprints.fingerprint("a" * n) for n in (100_000, 60_000))
+    assert len(one) < 2000 and abs(fingerprints.likeness(one, two) - 0.6) < 0.2
+
+
 # --- repeated passages ------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("hot", [spans.HOT, 3])
@@ -292,6 +321,64 @@ def test_language_model(frame):
     assert all(r.score == 0 for r in lm.score_documents(frame(rows), F.lit(False), train).collect())
 
 
+def plain_scores(tokens, train, fold):
+    """log10 probabilities by the model's definition: dictionaries, one event at a time."""
+    def count(ids):
+        single, pair = Counter(), Counter()
+        for i in ids:
+            before = "<"
+            for w in tokens[i]:
+                single[w] += 1
+                pair[before, w] += 1
+                before = w
+        return single, pair
+
+    def coarse(c):
+        return 2 ** (round(16 * math.log2(c)) / 16) if c else 0.0
+
+    single, pair = count(train)
+    held_single, held_pair = count(fold)
+    n, v = sum(single.values()), len(single)
+    kept, kept_pair = single - held_single, pair - held_pair
+    events = Counter()
+    for i in fold:
+        before = "<"
+        for w in tokens[i]:
+            context = kept[None if before == "<" else before]  # texts begin as often as they end
+            bigram = min(1.0, coarse(kept_pair[before, w]) / max(coarse(context), 1)) if context else 0.0
+            events[context.bit_length(), bigram, coarse(kept[w]) / max(sum(kept.values()), 1), 1 / (v + 1)] += 1
+            before = w
+    weights = {b: (0.0, 0.5, 0.5) if b == 0 else (1 / 3,) * 3 for b in range(64)}
+    for _ in range(100):
+        found = {b: [0.0, 0.0, 0.0] for b in weights}
+        for (b, *estimates), times in events.items():
+            parts = [a * e for a, e in zip(weights[b], estimates)]
+            for k in range(3):
+                found[b][k] += times * parts[k] / sum(parts)
+        weights = {b: [x / sum(f) for x in f] if sum(f) else weights[b] for b, f in found.items()}
+    out = {}
+    for i, words_ in tokens.items():
+        before, out[i] = "<", 0.0
+        for w in words_:
+            context = single[None if before == "<" else before]
+            a, b, c = weights[context.bit_length()]
+            out[i] += math.log10(a * pair[before, w] / max(context, 1) + b * single[w] / n + c / (v + 1))
+            before = w
+    return out
+
+
+@pytest.mark.parametrize("fold", [5, 9])  # no row has remainder 9: the weights stay as they begin
+def test_language_model_scores_by_brute_force(frame, fold):
+    rows = [(i, words(30) if i % 3 else "The cat sat ON the mat . the cat ran\tthe cat") for i in range(70)] + [(100, None), (101, ""), (102, "unseen word")]
+    rows += [rows[5], (None, "the cat")]
+    tokens = {k: [*(t or "").lower().split(), None] for k, (_, t) in enumerate(rows)}
+    chosen = {r: [k for k, (i, _) in enumerate(rows) if i is not None and (i % 7 != 2 if r is None else i % 7 == r)] for r in (None, fold)}
+    expected = plain_scores(tokens, chosen[None], chosen[fold])
+    found = lm.score_documents(frame(rows), F.col("doc_id") % 7 != 2, F.col("doc_id") % 7 == fold).collect()
+    key = lambda i: -1 if i is None else i
+    assert sorted((key(r.doc_id), round(r.score, 8)) for r in found) == sorted((key(rows[k][0]), round(x, 8)) for k, x in expected.items())
+
+
 # --- mixing ---------------------------------------------------------------------------------------------
 
 def test_mixing(spark):
