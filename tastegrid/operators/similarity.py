@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.grid import ROW_BYTES, best_matches
+from tastegrid.operators.text import inverse_document_frequency, token_counts, weigh_terms
+from tastegrid.session import materialize
 
 
 def term_vectors(weights: DataFrame, key: str, term: str = "term", value: str = "tfidf") -> DataFrame:
@@ -68,6 +70,29 @@ def similar_to_target(
     wanted = F.broadcast(target.select(F.col(key).alias("_target")))
     target_terms = weights.join(wanted, F.col(key) == F.col("_target"), "left_semi").select(
         "term", F.col("tfidf").alias("_w"))
+    return _ranked(weights, target_terms, wanted, key, n, include_self, digits)
+
+
+def similar_to_text(
+    df: DataFrame, target: DataFrame, key: str, text: str, n: int, include_self: bool = True, digits: int = 6,
+    listed: DataFrame | None = None,
+) -> DataFrame:
+    """``similar_to_target`` from the texts themselves, for one request: no table of weights is stored.
+
+    Term counts are stored once. The target's few terms get their frequencies by a look-up; all others are weighed on the
+    way, as a document's length needs every one of its weights. ``listed`` has as many rows as ``df`` where that is costly to make.
+    """
+    terms = materialize(token_counts(df, key, text))
+    n_documents = (df if listed is None else listed).agg(F.count(F.lit(1)).alias("n_documents"))
+    wanted = F.broadcast(target.select(F.col(key).alias("_target")))
+    own = materialize(terms.join(wanted, F.col(key) == F.col("_target"), "left_semi").select("term", "tf"))
+    known = inverse_document_frequency(terms.join(F.broadcast(own.select("term")), "term", "left_semi"), n_documents)
+    target_terms = materialize(known.join(F.broadcast(own), "term").select("term", (F.col("tf") * F.col("idf")).alias("_w")))
+    weights = weigh_terms(terms, inverse_document_frequency(terms, n_documents), key)
+    return _ranked(weights, target_terms, wanted, key, n, include_self, digits)
+
+
+def _ranked(weights: DataFrame, target_terms: DataFrame, wanted: DataFrame, key: str, n: int, include_self: bool, digits: int) -> DataFrame:
     target_norm = target_terms.agg(F.sqrt(F.sum(F.col("_w") ** 2))).scalar()
     scored = weights.join(F.broadcast(target_terms), "term", "left").groupBy(key).agg(
         F.sqrt(F.sum(F.col("tfidf") ** 2)).alias("_norm"),

@@ -457,9 +457,8 @@ def keyword_vectors(d: Domain) -> DataFrame:
 
 @query
 def cosine_to_target(d: Domain) -> DataFrame:
-    weights = materialize(text.tfidf(d.stored_movie_text, "movieId", "combined_features"))
-    target = similarity.target_by_title(d.stored_movie_text, TARGET_TITLE)
-    return similarity.similar_to_target(weights, target, "movieId", K)
+    target = similarity.target_by_title(d.movie_parts.withColumnRenamed("id", "movieId"), TARGET_TITLE)
+    return similarity.similar_to_text(d.movie_text, target, "movieId", "combined_features", K, listed=d.movie_parts)
 
 
 @query

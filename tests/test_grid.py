@@ -136,3 +136,15 @@ def test_wanted_documents_have_the_same_lists(spark):
     every = result(similarity.nearest_texts(weights, "id", 3, 12))
     some = result(similarity.nearest_texts(weights, "id", 3, 12, wanted=docs.filter("id % 4 = 1").select("id")))
     assert some == [r for r in every if r[0] % 4 == 1] and some
+
+
+@pytest.mark.parametrize("include_self", [True, False])
+def test_target_from_texts_equals_target_from_weights(spark, include_self):
+    texts = ["a b b c", "b c d", "", None, "a b b c", "x y", "c c c a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
+    weights = text.tfidf(df, "id", "t")
+    for target in (0, 2, 5, 99):
+        one = spark.createDataFrame([(target,)], "id bigint")
+        expected = similarity.similar_to_target(weights, one, "id", 5, include_self).collect()
+        assert similarity.similar_to_text(df, one, "id", "t", 5, include_self).collect() == expected
+        assert similarity.similar_to_text(df, one, "id", "t", 5, include_self, listed=df.select("id")).collect() == expected
