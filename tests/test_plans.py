@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.operators import joins, ratings
 from tastegrid.plans import catalog
+from tastegrid.session import materialize
 
 
 def plan(df):
@@ -52,6 +53,24 @@ def test_salted_join_is_the_join(spark, how):
     assert sorted(map(repr, salted.select("k", "v", "n").collect())) == plain
 
 
+def test_a_table_larger_in_memory_than_in_its_files_is_not_broadcast(spark):
+    """100,000 sorted ids take less than the limit as a file, and some 3 MB as rows that a salted join repeats."""
+    lookup = materialize(spark.range(100000).select(F.col("id").alias("k"), (F.col("id") + 1).alias("n")))
+    facts = materialize(spark.range(200000).select((F.col("id") % 100000).alias("k"), F.col("id").alias("v")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1500000")
+        spark.conf.set(adaptive, "1500000")
+        joined = joins.salted_join(facts, lookup, ["k"], "inner", spread_by=["v"])
+        joined.collect()
+        assert "BroadcastHashJoin" not in plan(joined)
+        assert joined.count() == 200000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset(adaptive)
+
+
 SQL_QUERIES = ["ratings_enriched", "mean_centered", "tfidf_weights", "popular_unseen_topk", "metric_curve", "same_genre",
                "hybrid_union", "advanced_recs", "genre_diversity", "cast_features", "crew_features", "links_clean"]
 
