@@ -14,6 +14,7 @@ from tastegrid.operators.ranking import global_positions
 from tastegrid.session import materialize
 
 TILE, USERS = 512, 4096  # items and users of one side of a correlation cell
+CELLS = 2**18            # filled cells of the user x item matrix that one task makes into tiles, at some 500 bytes a tile
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -103,9 +104,14 @@ def matrix_tiles(means: DataFrame, width: int = 50, user: str = "userId", item:
     ``c0``..; tiles in which a user rated nothing are all 0 and left out. The matrix keeps a fixed
     number of columns however many items there are, and one row of a heavy user is a tile, not all
     their ratings. ``means`` holds one value per (user, item).
+
+    Nearly every value is a tile of its own, so combining before the shuffle would hold wide rows for nothing: the narrow
+    values are stored, and dealt to as many tasks as keep a task's tiles bounded.
     """
     tile = F.floor(F.col(item) / width).cast("bigint")
-    placed = means.select(user, tile.alias("tile"), F.pmod(F.col(item), F.lit(width)).alias("_c"), "rating")
+    placed = materialize(means.select(user, tile.alias("tile"), F.pmod(F.col(item), F.lit(width)).alias("_c"), "rating"))
+    tasks = max(means.sparkSession.sparkContext.defaultParallelism, math.ceil(placed.count() / CELLS))
+    placed = placed.repartition(tasks, user, "tile")
     cells = [F.sum(F.when(F.col("_c") == c, F.col("rating")).otherwise(0.0)).alias(f"c{c}") for c in range(width)]
     return placed.groupBy(user, "tile").agg(*cells)
 

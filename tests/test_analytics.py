@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from table_rows import rows
 from tastegrid.operators import analytics, recommend
@@ -105,3 +106,15 @@ def test_blend_and_lists(spark):
     packed = spark.createDataFrame([(1, [(5, 4.5), (6, 4.0)])],
                                    "userId int, recommendations array<struct<movieId:int,rating:double>>")
     assert rows(recommend.flatten(packed)) == [(1, 5, 4.5), (1, 6, 4.0)]
+
+
+def test_matrix_tiles_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    """Thirty values a task at most on average, however few shuffle partitions the session has."""
+    monkeypatch.setattr(analytics, "CELLS", 30)
+    means = spark.range(900).select((F.col("id") % 30).alias("userId"), (F.col("id") * 7).alias("movieId"), (F.col("id") + 0.5).alias("rating"))
+    tiles = analytics.matrix_tiles(means)
+    sizes = tiles.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r[1] for r in sizes) == means.select("userId", F.floor(F.col("movieId") / 50)).distinct().count()
+    assert len(sizes) > 20 and max(r[1] for r in sizes) < 90
+    cells = {(r["userId"], r["tile"] * 50 + c): r[f"c{c}"] for r in tiles.collect() for c in range(50) if r[f"c{c}"]}
+    assert cells == {(r.userId, r.movieId): r.rating for r in means.collect()}
