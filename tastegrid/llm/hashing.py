@@ -12,6 +12,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+STRETCH = 1 << 19  # bytes whose prefix sums are held at once where spans are hashed in order
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -79,6 +80,22 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((sums[ends] - sums[starts]) * shift[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, *ends: np.ndarray, stretch: int = STRETCH) -> np.ndarray:
+    """``span_hash`` of spans that start in ascending order and do not overlap, one row for each of ``ends``.
+
+    Prefix sums and powers take 24 bytes for each byte of text, so they are made for a stretch of the text at a time. Of a span's
+    ends none may lie behind the next span's start.
+    """
+    powers(stretch + 1)
+    out = np.empty((len(ends), len(starts)), np.uint64)
+    for i, j in pieces(np.append(starts, len(data)), stretch):
+        at = starts[i]
+        sums = prefix_sums(data[at:max(e[j - 1] for e in ends)])
+        for row, e in zip(out, ends):
+            row[i:j] = span_hash(sums, starts[i:j] - at, e[i:j] - at)
+    return out
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, separates: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, first): byte spans of all words; words of text i are first[i]:first[i + 1]."""
     inside = ~separates[data]

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.llm import exchange
-from tastegrid.llm.hashing import BASE, LOWER, WHITE, mix, prefix_sums, span_hash, text_bytes, word_spans
+from tastegrid.llm.hashing import BASE, LOWER, WHITE, mix, span_hashes, text_bytes, word_spans
 
 END, BEGIN = np.uint64(0x656E64), np.uint64(0x626567)
 EM_ROUNDS = 100
@@ -43,7 +43,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray):
     is_end = np.zeros(first[-1], bool)
     is_end[first[1:] - 1] = True
     word[is_end] = END
-    word[~is_end] = span_hash(prefix_sums(low), starts, ends)
+    word[~is_end] = span_hashes(low, starts, ends)[0]
     context = np.empty_like(word)
     context[1:] = word[:-1]
     context[first[:-1]] = BEGIN
