@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.llm.columns import packed, unpacked
-from tastegrid.llm.hashing import lower_latin, pieces, prefix_sums, span_hash, text_bytes, word_spans, NOT_WORD
+from tastegrid.llm.hashing import lower_latin, pieces, span_hashes, text_bytes, word_spans, NOT_WORD
 
 TRAIN_ROWS = 6000     # bound of the labelled sample that the model is fitted on
 VOCABULARY = 5000     # features kept
@@ -47,11 +47,10 @@ def token_features(data, offsets):
     """(starts, ends, first, hashes): three feature hashes per token."""
     low = lower_latin(data)
     starts, ends, first = word_spans(low, offsets, NOT_WORD)
-    sums = prefix_sums(low)
-    columns = [span_hash(sums, starts, ends)]
-    for salt, size in ((np.uint64(0x5), 5), (np.uint64(0x3), 3)):
-        columns.append(span_hash(sums, starts, np.minimum(starts + size, ends)) ^ (salt << np.uint64(60)))
-    return starts, ends, first, np.stack(columns)
+    hashes = span_hashes(low, starts, ends, *(np.minimum(starts + size, ends) for size in (5, 3)))
+    for row, salt in zip(hashes[1:], (np.uint64(0x5), np.uint64(0x3))):
+        row ^= salt << np.uint64(60)
+    return starts, ends, first, hashes
 
 
 def lookup(features, hashes):
@@ -63,8 +62,13 @@ def lookup(features, hashes):
 
 
 def emissions(model, hashes):
+    return energies(model, (lookup(model.features, row) for row in hashes))
+
+
+def energies(model, found):
+    """Emissions from each feature's indices, one row of tokens at a time."""
     padded = np.append(model.weights, 0.0)
-    return model.bias + padded[lookup(model.features, hashes)].sum(axis=0)
+    return model.bias + sum(padded[row] for row in found)
 
 
 def sweeps(energy, first, transition, width=256):
@@ -151,34 +155,36 @@ def logistic(x):
 
 def fit_arrays(data, offsets, toxic) -> Model:
     """Fit on texts (bytes and offsets) with a 0/1 label each."""
-    starts, ends, first, hashes = token_features(data, offsets)
+    first, hashes = token_features(data, offsets)[2:]
     owner = np.repeat(np.arange(len(toxic)), np.diff(first))
     is_toxic = toxic[owner] == 1
     positive, negative = max(1, int(toxic.sum())), max(1, int((toxic == 0).sum()))
 
     # Documents with each feature, among the toxic ones and the others.
-    # Some documents at a time: a pair of feature and document occurs within one part only.
-    parts = [np.zeros((0, 2), np.uint64)]
+    # Some documents at a time: a pair of feature and document occurs within one part only, so parts keep counts per feature.
+    parts = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for i, j in pieces(first, FEATURED):
         own = slice(first[i], first[j])
         flat = np.stack((hashes[:, own].reshape(-1), np.tile(owner[own], len(hashes)).astype(np.uint64)), axis=1)
         flat = flat[np.lexsort((flat[:, 1], flat[:, 0]))]
         fresh = np.ones(len(flat), bool)
         fresh[1:] = (flat[1:] != flat[:-1]).any(axis=1)
-        parts.append(flat[fresh])
-    flat = np.concatenate(parts)
+        flat = flat[fresh]
+        keys, at = np.unique(flat[:, 0], return_inverse=True)
+        bad = toxic[flat[:, 1].astype(np.int64)] == 1
+        parts.append((keys, *(np.bincount(at[which], minlength=len(keys)) for which in (bad, ~bad))))
+    keys, *counts = (np.concatenate(column) for column in zip(*parts))
     del parts
-    keys, at = np.unique(flat[:, 0], return_inverse=True)
-    bad = toxic[flat[:, 1].astype(np.int64)] == 1
-    with_bad = np.bincount(at[bad], minlength=len(keys))
-    with_good = np.bincount(at[~bad], minlength=len(keys))
+    keys, at = np.unique(keys, return_inverse=True)
+    with_bad, with_good = (np.bincount(at, column, len(keys)).astype(np.int64) for column in counts)
     odds = np.log((with_bad + 0.5) / (positive + 1)) - np.log((with_good + 0.5) / (negative + 1))
     strong = np.flatnonzero((with_bad >= 3) & (odds > 1.0))
     gain = with_bad[strong] * odds[strong]
     kept = np.sort(strong[np.argsort(-gain, kind="stable")[:VOCABULARY]])
     features, indicates = keys[kept], np.append(odds[kept] >= 1.5, False)
 
-    found = lookup(features, hashes)
+    found = np.stack([lookup(features, row).astype(np.int32) for row in hashes])
+    del hashes
     labels = (is_toxic & indicates[found].any(axis=0)).astype(float)
     hits = np.flatnonzero((found >= 0).any(axis=0))
     rng = np.random.default_rng(7)
@@ -217,7 +223,7 @@ def fit_arrays(data, offsets, toxic) -> Model:
         theta = theta - 0.15 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     model = Model(features, theta[:size], float(theta[size]), theta[size + 1:].reshape(2, 2), np.zeros(4))
 
-    x = document_features(marginals(emissions(model, hashes), first, model.transition), first)
+    x = document_features(marginals(energies(model, found), first, model.transition), first)
     w = np.array([-2.0, 0.0, 0.0, 0.0])
     for _ in range(30):  # Newton steps with a small ridge
         p = logistic(x @ w)

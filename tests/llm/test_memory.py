@@ -4,7 +4,7 @@ import tracemalloc
 
 import numpy as np
 
-from tastegrid.llm import hashing, lm
+from tastegrid.llm import hashing, lm, toxicity
 
 
 def texts(n):
@@ -43,3 +43,10 @@ def test_words_hash_alike_in_stretches():
 def test_language_model_tokens_take_no_prefix_sums_of_a_whole_chunk(monkeypatch):
     data, offsets = arrays(texts(2500))
     assert peak(monkeypatch, lambda: lm.tokens(data, offsets), len(data)) < 20
+
+
+def test_toxicity_fit_holds_counts_and_no_pairs_of_feature_and_document(monkeypatch):
+    data, offsets = arrays(texts(2500))
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    toxic = (np.arange(2500) % 7 == 0).astype(np.int64)
+    assert peak(monkeypatch, lambda: toxicity.fit_arrays(data, offsets, toxic), len(data)) < 40
