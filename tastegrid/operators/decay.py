@@ -10,31 +10,49 @@ Ratings without a value or a date do not count, as in ``ratings.decayed_populari
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.functions.scores import decayed
 
 EPOCH = 120 * 86400  # seconds
+SUMS = 2**19         # ratings, and so sums at most, that one task is dealt
 
 
 def end_of(epoch: Column) -> Column:
     return (epoch + 1) * EPOCH
 
 
-def decay_state(ratings: DataFrame, factor: float = 0.5, item: str = "movieId", at: str = "ts") -> DataFrame:
-    """(item, epoch, mass): the ratings' sums, each as of the end of its epoch."""
+def tasks_for(ratings: DataFrame) -> int:
+    """Tasks that keep the sums of one bounded, whatever number of shuffle partitions the session has."""
+    return max(ratings.sparkSession.sparkContext.defaultParallelism, math.ceil(ratings.count() / SUMS))
+
+
+def decay_state(ratings: DataFrame, factor: float = 0.5, item: str = "movieId", at: str = "ts", tasks: int | None = None) -> DataFrame:
+    """(item, epoch, mass): the ratings' sums, each as of the end of its epoch.
+
+    Where an item has few ratings an epoch, nearly every rating is a sum of its own: combining before the shuffle gains
+    nothing, and the sums of a task grow with the table. With ``tasks`` (see ``tasks_for``) the ratings are dealt to so many
+    tasks and added up there; those of one item and epoch meet in one task, as one sum.
+    """
     seconds = F.unix_timestamp(at)
     epoch = F.floor(seconds / EPOCH)
-    return ratings.withColumn("_mass", decayed(F.col("rating"), seconds, end_of(epoch), factor)).filter("_mass is not null").groupBy(
-        item, epoch.alias("epoch")).agg(F.sum("_mass").alias("mass"))
+    masses = ratings.select(item, epoch.alias("epoch"), decayed(F.col("rating"), seconds, end_of(epoch), factor).alias("mass")).filter(
+        "mass is not null")
+    return _dealt(masses, tasks, item, "epoch").groupBy(item, "epoch").agg(F.sum("mass").alias("mass"))
 
 
-def merged(first: DataFrame, *others: DataFrame, item: str = "movieId") -> DataFrame:
-    """One state of several, from any split of the ratings."""
+def merged(first: DataFrame, *others: DataFrame, item: str = "movieId", tasks: int | None = None) -> DataFrame:
+    """One state of several, from any split of the ratings. With ``tasks`` it lies by item, so that folding it moves nothing."""
     for other in others:
         first = first.unionByName(other)
-    return first.groupBy(item, "epoch").agg(F.sum("mass").alias("mass"))
+    return _dealt(first, tasks, item).groupBy(item, "epoch").agg(F.sum("mass").alias("mass"))
+
+
+def _dealt(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    return df if tasks is None else df.repartition(tasks, *keys)
 
 
 def folded(state: DataFrame, epoch: int, factor: float = 0.5, item: str = "movieId") -> DataFrame:

@@ -36,3 +36,18 @@ def test_folding_leaves_one_row_an_item(table):
     state = decay.folded(decay.decay_state(table), 2_400_000_000 // decay.EPOCH)
     assert state.groupBy("movieId").count().filter("count > 1").count() == 0
     assert decay.decay_state(table.limit(0)).collect() == []
+
+
+def test_sums_are_made_in_tasks_of_bounded_size(spark, monkeypatch):
+    """Thirty ratings a task at most on average, however few shuffle partitions the session has."""
+    monkeypatch.setattr(decay, "SUMS", 30)
+    many = spark.range(900).select((F.col("id") * 7).alias("movieId"), (F.col("id") % 5 + 0.5).alias("rating"),
+                                   F.timestamp_seconds(F.col("id") % 3 * 40_000_000).alias("ts"))
+    tasks = decay.tasks_for(many)
+    assert tasks == 30
+    halves = [decay.decay_state(many.filter(F.col("movieId") % 2 == half), tasks=tasks) for half in (0, 1)]
+    for state in (*halves, folded := decay.folded(decay.merged(*halves, tasks=tasks), 20)):
+        sizes = [r[1] for r in state.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 20 and max(sizes) < 90 and sum(sizes) == state.count()
+    got, want = scores(decay.popularity_at(folded, 10**9)), scores(ratings.decayed_popularity(many, 10**9))
+    assert got.keys() == want.keys() and all(got[m] == pytest.approx(want[m], rel=1e-9) for m in want)
