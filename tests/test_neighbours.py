@@ -58,6 +58,18 @@ def test_pairs_are_those_of_all_pairs(spark, monkeypatch, threshold):
     assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 2e-6 for p in want)
 
 
+def test_members_digest_every_vector_once(spark):
+    """Digests are grouped and looked up: both read what was stored, neither sorts the vectors again."""
+    rows = [(5, ["b", "a"], [2.0, 1.0]), (3, ["a", "b"], [1.0, 2.0]), (7, ["a", "b"], [2.0, 1.0]), (8, ["a", "b"], [1.0, None]),
+            (9, ["a", "b"], [1.0, None]), (10, [], []), (11, [], []), (12, None, None), (13, ["a\",\"b"], [1.0]), (14, [None, "a"], [1.0, 2.0]),
+            (15, ["a", None], [2.0, 1.0]), (16, ["a"], [0.1 + 0.2]), (17, ["a"], [0.3])]
+    found = pairs.members(spark.createDataFrame(rows, "id bigint, terms array<string>, weights array<double>"))
+    assert {r.id: r.vector_id for r in found.collect()} == {
+        3: 3, 5: 3, 7: 7, 8: 8, 9: 8, 10: 10, 11: 10, 13: 13, 14: 14, 15: 14, 16: 16, 17: 17}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in plan and "arrays_zip" not in plan
+
+
 def test_pairs_of_documents_agree_with_the_grid(spark):
     d = catalog.Domain(spark, f"{TESTDATA}/sf0.01")
     vectors = catalog.materialize(similarity.term_vectors(d.document_weights, "doc_id"))
