@@ -64,3 +64,13 @@ def test_nearest_documents_meet_in_blocks_without_a_shuffle(spark, monkeypatch):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "weights" not in plan
     assert found.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1  # the lists alone
+
+
+def test_wanted_documents_are_the_only_ones_asked_about(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "TEXT_BYTES", 700)
+    df = documents(spark)
+    wanted = spark.createDataFrame([(7 * i,) for i in (3, 50, 50, 399)] + [(5,), (None,)], "doc_id bigint")
+    found = similarity.nearest_documents(df, "doc_id", "text", 4, wanted=wanted)
+    every = nearest(tfidf(spark, df), 4)
+    assert similar(listed(found), {7 * i: every[7 * i] for i in (3, 50, 399)})
+    assert found.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
