@@ -74,3 +74,25 @@ def test_wanted_documents_are_the_only_ones_asked_about(spark, monkeypatch):
     every = nearest(tfidf(spark, df), 4)
     assert similar(listed(found), {7 * i: every[7 * i] for i in (3, 50, 399)})
     assert found.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_sparse_vectors_meet_in_blocks_without_a_shuffle(spark, monkeypatch):
+    """Ids may come twice or be null: every row is asked about, and lists of an id are of all its rows."""
+    monkeypatch.setattr(blocks, "ROWS", 20)
+    rows = [(i, [i % 7, 20 + i % 3], [1.0 + i % 2, 2.0]) for i in range(90)] + [(3, [3, 20], [2.0, 2.0]), (95, [], []), (96, None, None), (None, [500], [1.0])]
+    table = spark.createDataFrame(rows, "id bigint, terms array<int>, weights array<double>")
+    found = best_matches(table, table, 3, n_queries=94, n_items=94, terms="terms", skip_same_id=True)
+    dense = np.zeros((len(rows), 501))
+    for r, (_, terms, weights) in enumerate(rows):
+        dense[r, terms or []] = weights or []
+    norm = np.linalg.norm(dense, axis=1)
+    cosine = np.divide(dense @ dense.T, np.outer(norm, norm), out=np.zeros((len(rows),) * 2), where=np.outer(norm, norm) > 0)
+    got = collections.defaultdict(list)
+    for r in found.collect():
+        got[r.query_id].append((r.rank, r.similarity))
+    assert got.keys() == {r[0] for r in rows}
+    for i, (d, *_) in enumerate(rows[:90]):
+        best = sorted(cosine[i][[e != d for e, *_ in rows]])[::-1]
+        if d != 3:
+            assert np.allclose([s for _, s in sorted(got[d])], best[:3], atol=2e-6)
+    assert found.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
