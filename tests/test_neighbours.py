@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tastegrid.operators import lsh, pairs, similarity
+from tastegrid.operators.blocks import Vectors
 from tastegrid.operators.grid import best_matches
 from tastegrid.plans import catalog
 
@@ -138,3 +139,14 @@ def test_index_of_nothing(spark):
     assert lsh.near_matches(none, some, 3).collect() == []
     assert lsh.near_matches(some, none, 3).collect() == []
     assert {(r.query_id, r.item_id, r.similarity) for r in lsh.near_matches(some.filter("id = 1"), some, 3, signs=1).collect()} >= {(1, 1, 1.0)}
+
+
+def test_a_vector_is_sent_once_to_a_place_that_has_candidates_for_it(spark):
+    """Not once under every term it shares: what is sent does not depend on how much two vectors have in common."""
+    table = sparse(spark, [" ".join(f"t{j}" for j in range(60) if j != i % 60) + f" own{i}" for i in range(300)])
+    blocks = pairs._weighted_blocks(table)
+    n = blocks.count()
+    found = pairs._candidates(pairs._indexed(blocks, 0.8, n, pairs._single(blocks)), 0.8, 4)
+    sent = [len(Vectors(r.payload)) for r in pairs._shipped(blocks, found, n, n).collect()]
+    assert n > 1 and sum(sent) == 299  # the last vector of the last block is only met there
+    assert pairs.similar_pairs(blocks, 0.8).count() == 300 * 299 / 2
