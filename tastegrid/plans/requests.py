@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators import factorize, ratings as rating_ops, recommend, similarity
+from tastegrid.session import materialize
 
 
 def similar_movies(
@@ -28,7 +29,7 @@ def hybrid_movies(
 
     No rows for a user without ratings.
     """
-    own = ratings.filter(F.col("userId") == user_id)
+    own = materialize(ratings.filter(F.col("userId") == user_id))  # few rows, read three times: the ratings behind them are made once
     user = own.select("userId", F.lit(0).alias("seed_id")).limit(1)
     near = similar_movies(movies, weights, title, n).withColumn("seed_id", F.lit(0))
     scored = recommend.content_and_ratings(user, near, rating_ops.mean_centered(own), n)

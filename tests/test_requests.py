@@ -61,3 +61,16 @@ def test_completed_matrix_of_one_user(ratings):
     every = {(r.userId, r["rank"]): r.movieId for r in factorize.svd_predictions(svd, 3, ratings).collect()}
     one = {(r.userId, r["rank"]): r.movieId for r in requests.svd_movies(svd, ratings, 5, 3).collect()}
     assert one and one == {k: v for k, v in every.items() if k[0] == 5}
+
+
+def test_hybrid_title_makes_the_ratings_once(spark, movies, ratings):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    weights = tfidf(movies, "movieId", "text")
+    got = requests.hybrid_movies(movies, weights, ratings.coalesce(1).mapInArrow(seen, ratings.schema), 2, "one", 3).collect()
+    assert len(got) == 3 and made.value == ratings.count()
